@@ -6,6 +6,7 @@ import importlib
 
 AREAS = (
     "commerce",
+    "acquisition",
 )
 
 

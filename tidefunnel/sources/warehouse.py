@@ -77,9 +77,9 @@ def _mapped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "customers":
         base = _customers_base(spark, sf_dir)
     elif name == "klaviyo_flow_steps":
-        # 25 nations x 5 regions, both of fixed size in the data model.
-        regions = F.broadcast(read_raw(spark, sf_dir, "region"))
-        base = read_raw(spark, sf_dir, "nation").join(regions, F.lit(True))
+        # Five steps per flow: the region table has a fixed five rows.
+        steps = read_raw(spark, sf_dir, "region").select(F.collect_list("r_regionkey")).scalar()
+        base = read_raw(spark, sf_dir, "nation").select("*", F.explode(steps).alias("r_regionkey"))
     elif name == "klaviyo_predictive_metrics":
         snapshots = F.explode(F.array(F.lit(0), F.lit(10))).alias("k")
         base = read_raw(spark, sf_dir, "customer").select("c_custkey", snapshots).alias("s")
