@@ -7,6 +7,7 @@ import importlib
 AREAS = (
     "commerce",
     "acquisition",
+    "consideration",
 )
 
 
