@@ -8,6 +8,7 @@ AREAS = (
     "commerce",
     "acquisition",
     "consideration",
+    "retention",
 )
 
 

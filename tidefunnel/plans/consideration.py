@@ -32,7 +32,10 @@ Date = dt.date | None
 
 CART = "add_to_cart"
 WISH = "add_to_wishlist"
-SECONDS = span_seconds(F.col("first_at"), F.col("last_at"))
+
+
+def seconds() -> Column:
+    return span_seconds("first_at", "last_at")
 
 
 def web_events(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
@@ -315,7 +318,7 @@ def consideration_metrics_daily(
         ).alias("view_bounces"),
         sessions_if(F.col("page_views") > 0).alias("page_sessions"),
         F.sum(F.when(named, F.col("page_views"))).alias("session_pages"),
-        F.avg(F.when(named, SECONDS)).alias("seconds"),
+        F.avg(F.when(named, seconds())).alias("seconds"),
         sessions_if(F.col("known") == 1).alias("known_sessions"),
         sessions_if(F.col("repeats") == 1).alias("repeat_sessions"),
     )
@@ -390,7 +393,7 @@ def session_engagement_daily(wh: Warehouse, start: Date = None, end: Date = None
     )
     rows = _with_repeats(wh, pairs, start, end)
     one_page = F.col("page_views_count") == 1
-    brief = SECONDS < 30
+    brief = seconds() < 30
     return rows.select(
         "date",
         "session_id",
@@ -401,7 +404,7 @@ def session_engagement_daily(wh: Warehouse, start: Date = None, end: Date = None
         "wishlist_add_count",
         "checkout_started",
         "checkout_completed",
-        rounded(SECONDS, 0).cast("int").alias("session_duration_seconds"),
+        rounded(seconds(), 0).cast("int").alias("session_duration_seconds"),
         "avg_scroll_depth_percent",
         (one_page | brief).alias("bounce"),
         ((F.col("product_views_count") > 0) & one_page & brief).alias("is_product_page_bounce"),
