@@ -9,6 +9,7 @@ AREAS = (
     "acquisition",
     "consideration",
     "retention",
+    "advocacy",
 )
 
 

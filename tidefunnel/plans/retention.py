@@ -258,32 +258,45 @@ def avg_ltv_cac_ratio(wh: Warehouse) -> DataFrame:
 # --- daily rollup -------------------------------------------------------------------
 
 
-def _customer_changes(wh: Warehouse) -> list[DataFrame]:
-    """Customer state is that of now on every day; only the cut-offs move."""
-    people = wh.table("customers")
-    bought = people.where("total_orders > 0")
-    constants = people.agg(
-        F.count_if(F.col("total_orders") > 0).alias("customers"),
-        F.count_if(F.col("total_orders") > 1).alias("repeaters"),
-        F.count_if((F.col("total_orders") > 0) & F.col("last_order_date").isNotNull()).alias("dated"),
-        F.sum(F.when(F.col("total_orders") > 0, F.col("total_revenue"))).cast("double").alias("ltv_all"),
-    ).select(F.lit(EVER).alias("date"), "*")
-    last = bought.where("last_order_date is not null").groupBy("last_order_date").agg(
-        F.count("*").alias("n")
-    )
-    # a customer stops being active n days after the last order
-    lapses = [
-        last.select(F.date_add("last_order_date", n + 1).alias("date"), F.col("n").alias(f"lapsed_{n}"))
-        for n in (30, 60, 90)
+def _customer_changes(wh: Warehouse) -> DataFrame:
+    """Customer state is that of now on every day; only the cut-offs move.
+
+    Each buyer is read once and leaves a few dated marks: constants that count
+    on every day, the first order, and the days on which the last order falls
+    out of the 30, 60 and 90 day windows.
+    """
+    one, repeat = F.lit(1), (F.col("total_orders") > 1).cast("int")
+    first, last = F.col("first_order_date"), F.col("last_order_date")
+    revenue = F.col("total_revenue").cast("decimal(12,2)")
+    kept = F.coalesce(active_since(days_before(wh.as_of, 90)).cast("int"), F.lit(0)) * repeat
+    marks = [
+        (F.lit(EVER), {"customers": one, "repeaters": repeat, "dated": last.isNotNull().cast("int")}),
+        (F.lit(EVER), {"ltv_all": revenue}),
+        (first, {"ltv_sum": revenue, "ltv_n": revenue.isNotNull().cast("int")}),
+        (first, {"subscribers": repeat, "kept": kept}),
+        *[(F.date_add(last, n + 1), {f"lapsed_{n}": one}) for n in (30, 60, 90)],
     ]
-    active = active_since(days_before(wh.as_of, 90)) & (F.col("total_orders") > 1)
-    firsts = bought.groupBy(F.col("first_order_date").alias("date")).agg(
-        F.sum("total_revenue").cast("double").alias("ltv_sum"),
-        F.count("total_revenue").alias("ltv_n"),
-        F.count_if(F.col("total_orders") > 1).alias("subscribers"),
-        F.count_if(active).alias("kept"),
+    names = [name for _, values in marks for name in values]
+    money_names = {"ltv_all", "ltv_sum"}
+
+    def mark(date: Column, values: dict[str, Column]) -> Column:
+        cells = [
+            F.coalesce(
+                values.get(name, F.lit(None)).cast("decimal(12,2)" if name in money_names else "int"),
+                F.lit(0),
+            ).alias(name)
+            for name in names
+        ]
+        return F.struct(date.alias("date"), *cells)
+
+    return (
+        buyers(wh)
+        .select(F.explode(F.array(*[mark(date, values) for date, values in marks])).alias("m"))
+        .select("m.*")
+        .where("date is not null")
+        .groupBy("date")
+        .agg(*[F.sum(n).cast("double" if n in money_names else "long").alias(n) for n in names])
     )
-    return [constants, *lapses, firsts]
 
 
 def _gap_changes(shortest: DataFrame) -> DataFrame:
@@ -479,7 +492,7 @@ def retention_metrics_daily(
         exact_median(buyers(wh), "total_revenue", "ltv_median").select(F.lit(EVER).alias("date"), "*"),
     ]
     parts = [
-        *_customer_changes(wh),
+        _customer_changes(wh),
         _gap_changes(gaps.shortest_gaps(days)),
         *_prediction_changes(wh),
         _winback_changes(wh, trailing),
