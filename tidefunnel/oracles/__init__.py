@@ -6,7 +6,7 @@ import importlib
 
 from tidefunnel.oracles.sqltext import check_query
 
-AREAS = ("commerce", "acquisition", "consideration", "retention", "advocacy")
+AREAS = ("commerce", "acquisition", "consideration", "retention", "advocacy", "attribution", "catalogue")
 
 
 def all_checks() -> dict[str, str]:

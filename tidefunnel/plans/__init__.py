@@ -10,6 +10,8 @@ AREAS = (
     "consideration",
     "retention",
     "advocacy",
+    "attribution",
+    "catalogue",
 )
 
 
