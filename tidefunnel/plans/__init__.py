@@ -12,6 +12,10 @@ AREAS = (
     "advocacy",
     "attribution",
     "catalogue",
+    "journey",
+    "quality",
+    "ingest",
+    "rollups",
 )
 
 
