@@ -16,6 +16,7 @@ AREAS = (
     "quality",
     "ingest",
     "rollups",
+    "mail",
 )
 
 

@@ -31,10 +31,14 @@ class Warehouse:
         loader: Callable[[str], DataFrame],
         as_of: dt.date,
         names: tuple[str, ...],
+        raw_dir: str | None = None,
     ) -> None:
+        # One time zone for all stored moments; days begin at UTC midnight.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.as_of = as_of
         self.names = names
+        self.raw_dir = raw_dir
         self._loader = loader
         self._frames: dict[str, DataFrame] = {}
 
@@ -43,12 +47,20 @@ class Warehouse:
             self._frames[name] = self._loader(name)
         return self._frames[name]
 
+    def raw(self, name: str) -> DataFrame:
+        """A raw parquet table of the fixture folder."""
+        if self.raw_dir is None:
+            raise ValueError("this warehouse has no folder of raw tables")
+        return read_raw(self.spark, self.raw_dir, name)
+
     @classmethod
     def from_fixture(
         cls, spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF
     ) -> Warehouse:
         """Entities derived from the raw parquet tables by the fixture mapping."""
-        return cls(spark, lambda name: _mapped(spark, sf_dir, name), as_of, tuple(ENTITIES))
+        return cls(
+            spark, lambda name: _mapped(spark, sf_dir, name), as_of, tuple(ENTITIES), sf_dir
+        )
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, as_of: dt.date) -> Warehouse:

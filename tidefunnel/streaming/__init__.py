@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-JOBS: tuple[str, ...] = ()
+JOBS = ("ingest", "daily_counts")
 
 
 def load() -> None:
