@@ -32,6 +32,8 @@ REPEATED = """EXISTS (
 
 DAILY = f"""
     web AS (SELECT *, CAST(occurred_at AS DATE) AS d FROM shopify_events),
+    all_days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL '1' DAY)) AS DATE) AS d
+                 FROM web),
     day_web AS (
       SELECT d, {events('product_viewed')} AS pv, {events('add_to_cart')} AS ac,
              {events('add_to_wishlist')} AS wl, {events('checkout_started')} AS cs,
@@ -66,9 +68,12 @@ DAILY = f"""
       SELECT d, count(DISTINCT a.session_id) AS n FROM web a
       WHERE a.customer_id IS NOT NULL AND {REPEATED.format(day='a.d')} GROUP BY d),
     joined AS (
-      SELECT w.*, m.sent, m.opened, m.clicked, b.r AS bounce, p.r AS pages, dw.secs,
+      SELECT a.d, {', '.join(f'coalesce(w.{c}, 0) AS {c}' for c in (
+                 'pv', 'ac', 'wl', 'cs', 'cc', 'ses', 'pg', 'ac_s', 'pv_s', 'wl_s', 'eng',
+                 'known'))},
+             m.sent, m.opened, m.clicked, b.r AS bounce, p.r AS pages, dw.secs,
              s.r AS scroll, r.n AS rep
-      FROM day_web w LEFT JOIN day_mail m USING (d) LEFT JOIN bounce b USING (d)
+      FROM all_days a LEFT JOIN day_web w USING (d) LEFT JOIN day_mail m USING (d) LEFT JOIN bounce b USING (d)
       LEFT JOIN pages p USING (d) LEFT JOIN dwell dw USING (d) LEFT JOIN scroll s USING (d)
       LEFT JOIN rep r USING (d)),
     consideration AS (

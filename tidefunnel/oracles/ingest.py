@@ -61,7 +61,8 @@ SQL = {
         FROM emails LEFT JOIN (SELECT DISTINCT email_id AS e FROM email_replies) r ON r.e = id""",
     "append_profile_list_members": f"""
         WITH j AS (SELECT profile_id, {SOURCE} AS list_id, event_type, occurred_at
-                   FROM klaviyo_events WHERE event_type IN ('Subscribed to List', 'Viewed Page'))
+                   FROM klaviyo_events WHERE event_type IN ('Subscribed to List', 'Viewed Page')
+                     AND profile_id IS NOT NULL)
         SELECT profile_id, list_id,
                coalesce(min(occurred_at) FILTER (WHERE event_type = 'Subscribed to List'),
                         min(occurred_at)) AS added_at

@@ -34,9 +34,9 @@ def decay(where: str, group: str = "") -> str:
     return f"""
       SELECT {g}coalesce({rnd('(arg_max(r, w) - arg_min(r, w)) / greatest(date_diff($$day$$, min(w), max(w)), 1)', 4)}, 0) AS v
       FROM (SELECT {g}date_trunc('week', occurred_at) AS w,
-                   count(DISTINCT profile_id) FILTER (
+                   coalesce(count(DISTINCT profile_id) FILTER (
                      WHERE event_type IN ('Opened Email', 'Clicked Email')) / nullif(
-                       CAST(count(DISTINCT profile_id) AS DOUBLE), 0) AS r
+                       CAST(count(DISTINCT profile_id) AS DOUBLE), 0), 0) AS r
             FROM {where} GROUP BY {g}w) {by}"""
 
 

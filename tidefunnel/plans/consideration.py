@@ -23,6 +23,7 @@ from tidefunnel.functions.exprs import (
     rounded,
     span_seconds,
 )
+from tidefunnel.operators.calendar import source_range
 from tidefunnel.operators.combine import left_join_spread, stack_sum
 from tidefunnel.plans.acquisition import BOUNCED, viewed_sessions
 from tidefunnel.registry import register
@@ -261,11 +262,13 @@ def consideration_metrics_daily(
 ) -> DataFrame:
     """One row per day with all web and mail counts, rates and the score.
 
-    Days are those with events, or those of ``calendar``; calendar days
-    without any event get zero counts and NULL rates.  One pass groups web
-    events by (day, session, customer); everything about sessions follows from
-    that much smaller table.
+    Days are those of ``calendar``, else every day from the first to the last
+    web event; days without any event get zero counts and NULL rates.  One pass
+    groups web events by (day, session, customer); everything about sessions
+    follows from that much smaller table.
     """
+    if calendar is None:
+        calendar = source_range(web_events(wh, start, end), "occurred_at")
     is_view = is_event("product_viewed")
     depth = json_text("event_properties", "scroll_depth").cast("decimal(12,4)")
     page = is_event("page_viewed")
@@ -331,9 +334,7 @@ def consideration_metrics_daily(
             F.count_if(is_event(CLICKED)).alias("clicked"),
         )
     )
-    rows = site.join(mails, "date", "full_outer")
-    if calendar is not None:
-        rows = calendar.select("date").join(rows, "date", "left")
+    rows = calendar.select("date").join(site, "date", "left").join(mails, "date", "left")
     n = {c: F.coalesce(F.col(c), F.lit(0)) for c in [*site.columns, *mails.columns] if c != "date"}
     score = _score(
         n["engaged"],

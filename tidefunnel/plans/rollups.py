@@ -87,8 +87,9 @@ def replace_all_cohorts(wh: Warehouse) -> DataFrame:
 
 def backfill_range(wh: Warehouse) -> DataFrame:
     """The consideration rollup for every day from the first to the last event."""
-    calendar = source_range(wh.table("shopify_events"), "occurred_at")
-    return consideration_metrics_daily(wh, calendar=calendar)
+    return consideration_metrics_daily(
+        wh, calendar=source_range(wh.table("shopify_events"), "occurred_at")
+    )
 
 
 def backfill_last_7_days(wh: Warehouse) -> DataFrame:

@@ -32,6 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediate tables.
 
@@ -43,6 +46,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidefunnel-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="tidefunnel-")
+        _LOCAL_ROOTS[app] = root
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
