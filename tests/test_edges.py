@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import os
 
 import pytest
 from compare import assert_same
@@ -27,7 +28,10 @@ BODIES = {
 }
 
 
-@pytest.fixture(scope="module", params=[11, 12])
+SEEDS = [int(s) for s in os.environ.get("EDGE_SEEDS", "11").split(",")]
+
+
+@pytest.fixture(scope="module", params=SEEDS)
 def tables(request, spark):
     return build(spark, make_rows(request.param))
 

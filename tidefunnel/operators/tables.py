@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidefunnel.session import work_folder
+
 
 def replace_days(df: DataFrame, path: str, days: Iterable[dt.date] | None = None) -> None:
     """Replace the partitions of the days in ``df``; leave all others alone.
@@ -43,6 +45,18 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result once and go on from the written table.
+
+    For results that several branches of one job read: Spark would compute
+    each branch from the facts again.  The table lies in the shared folder, so
+    lost executors cost nothing but their running tasks.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _drop_partition(spark: SparkSession, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)

@@ -23,6 +23,7 @@ from tidefunnel.functions.exprs import (
     span_seconds,
 )
 from tidefunnel.operators.combine import left_join_spread, stack_sum
+from tidefunnel.operators.tables import staged
 from tidefunnel.plans.commerce import paid_orders
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
@@ -565,13 +566,12 @@ def web_by_session(wh: Warehouse, start: Date = None, end: Date = None) -> DataF
 
 
 def sessions_per_day(web: DataFrame) -> DataFrame:
-    """Per (date, session): page views, time span and the range of customers."""
+    """Per (date, session): page views and the range of customers."""
     return (
         web.where("session_id is not null")
         .groupBy("date", "session_id")
         .agg(
             F.sum("page_views").alias("page_views"),
-            span_seconds(F.min("first_at"), F.max("last_at")).alias("seconds"),
             F.min("customer_id").alias("lo"),
             F.max("customer_id").alias("hi"),
         )
@@ -612,7 +612,10 @@ def acquisition_metrics_daily(
         F.col("id").alias("customer_id"),
         F.coalesce("is_first_time_customer", F.lit(False)).alias("first_time"),
     )
-    web = web_by_session(wh, start, end)
+    # read by three branches below
+    web = staged(
+        web_by_session(wh, start, end).drop("first_at", "last_at"), "web-by-session"
+    )
     sessions = sessions_per_day(web)
     per_customer = stack_sum(
         ["customer_id", "date"],
@@ -715,11 +718,13 @@ def traffic_source_metrics_daily(
         .groupBy("date", "session_id", "customer_id", "referrer", *tags)
         .agg(F.count("*").alias("events"), F.count_if("is_view").alias("views"))
     )
-    sessions = sessions_per_day(web_by_session(wh, start, end)).select(
-        "date",
-        "session_id",
-        "seconds",
-        (F.col("page_views") == 1).cast("int").alias("bounced"),
+    sessions = (
+        events.where("session_id is not null")
+        .groupBy(day("occurred_at").alias("date"), "session_id")
+        .agg(
+            span_seconds(F.min("occurred_at"), F.max("occurred_at")).alias("seconds"),
+            (F.count_if(F.col("event_type") == "page_viewed") == 1).cast("int").alias("bounced"),
+        )
     )
     orders = (
         wh.table("shopify_orders")
@@ -771,41 +776,51 @@ def traffic_source_metrics_daily(
     repeats = F.col("n_orders") * F.col("w") if fan_out else F.lit(1)
     paid_times = F.col("events") * F.col("w") if fan_out else F.lit(1)
     timed = F.col("seconds").isNotNull()
-    # Level 1a: per customer and order source, so signups and orders count once.
-    by_customer = (
-        joined.groupBy(*TRAFFIC_KEYS, "customer_id", "order_source")
-        .agg(
-            F.sum(F.col("views") * repeats).alias("page_views"),
-            F.sum(F.col("paid") * paid_times.cast("decimal(16,0)")).alias("revenue"),
-            F.max("paid").alias("paid_once"),
-            F.sum(F.when(timed, F.col("events") * repeats * F.col("seconds"))).alias("seconds"),
-            F.sum(F.when(timed, F.col("events") * repeats)).alias("timed_rows"),
-            F.max("n_sub").alias("n_sub"),
-            F.max("n_paid").alias("n_paid"),
+    # Each row counts towards its customer (signups and orders once per customer
+    # and order source) and towards its session.  Both views of the row are put
+    # through one aggregation instead of joining everything twice.
+    none = F.lit(None)
+    row_sums = {
+        "page_views": (F.col("views") * repeats).cast("decimal(38,0)"),
+        "revenue": (F.col("paid") * paid_times.cast("decimal(16,0)")).cast("decimal(38,2)"),
+        "seconds": F.when(timed, F.col("events") * repeats * F.col("seconds")).cast("double"),
+        "timed_rows": F.when(timed, F.col("events") * repeats).cast("decimal(38,0)"),
+    }
+    once = ["paid", "n_sub", "n_paid", "bounced"]
+
+    def view(of_session: bool) -> Column:
+        own = F.lit(of_session)
+        return F.struct(
+            own.alias("of_session"),
+            F.when(own, F.col("session_id")).alias("session_id"),
+            F.when(~own, F.col("customer_id")).alias("customer_id"),
+            F.when(~own, F.col("order_source")).alias("order_source"),
+            *[F.when(~own, c).alias(name) for name, c in row_sums.items()],
+            *[(F.col(c) if (c == "bounced") == of_session else none.cast(joined.schema[c].dataType)).alias(c) for c in once],
         )
-        .groupBy(*TRAFFIC_KEYS, "customer_id")
+
+    grouped_once = (
+        joined.select(*TRAFFIC_KEYS, F.explode(F.array(view(True), view(False))).alias("v"))
+        .select(*TRAFFIC_KEYS, "v.*")
+        .where("not of_session or session_id is not null")
+        .groupBy(*TRAFFIC_KEYS, "of_session", "session_id", "customer_id", "order_source")
+        .agg(*[F.sum(c).alias(c) for c in row_sums], *[F.max(c).alias(c) for c in once])
+        .groupBy(*TRAFFIC_KEYS, "of_session", "session_id", "customer_id")
         .agg(
-            F.sum("page_views").alias("page_views"),
-            F.sum("revenue" if fan_out else "paid_once").alias("revenue"),
-            F.sum("seconds").alias("seconds"),
-            F.sum("timed_rows").alias("timed_rows"),
+            *[F.sum(c).alias(c) for c in row_sums],
+            F.sum("paid").alias("paid_once"),
             F.max("n_sub").alias("signups"),
             F.sum("n_paid").alias("orders"),
+            F.max("bounced").alias("bounced"),
         )
-        .withColumn("visitors", F.col("customer_id").isNotNull().cast("int"))
-    )
-    # Level 1b: per session.
-    by_session = (
-        joined.where("session_id is not null")
-        .groupBy(*TRAFFIC_KEYS, "session_id")
-        .agg(F.max("bounced").alias("bounced"))
-        .select(*TRAFFIC_KEYS, F.lit(1).alias("sessions"), "bounced")
-    )
-    measures = [
-        "page_views", "revenue", "seconds", "timed_rows", "signups", "orders", "visitors",
-        "sessions", "bounced",
-    ]
-    total = stack_sum(TRAFFIC_KEYS, [by_customer.drop("customer_id"), by_session], measures)
+    )
+    total = grouped_once.groupBy(*TRAFFIC_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("page_views", "seconds", "timed_rows", "signups", "orders", "bounced")],
+        F.sum("revenue" if fan_out else "paid_once").alias("revenue"),
+        F.count_if("of_session").alias("sessions"),
+        F.count("customer_id").alias("visitors"),
+    )
+    measures = ["sessions", "page_views", "visitors", "bounced", "signups", "orders"]
     count = {m: F.coalesce(F.col(m).cast("long"), F.lit(0)) for m in measures}
     return total.select(
         *TRAFFIC_KEYS,

@@ -197,17 +197,54 @@ def post_purchase_email_ctr(wh: Warehouse, start: Date = None, end: Date = None)
 # --- daily rollup -------------------------------------------------------------------
 
 
-def _first_days(wh: Warehouse, acts: DataFrame, name: str) -> DataFrame:
-    """Buyers per day of their first act: their running total is the distinct count."""
-    firsts = (
-        acts.where("customer_id is not null")
-        .groupBy(F.col("customer_id").alias("id"))
-        .agg(F.min(day("created_at")).alias("date"))
+def _people_changes(wh: Warehouse) -> DataFrame:
+    """Headcounts per day: people on the day of their first act, others always.
+
+    The running total of first acts is the number of distinct people so far.
+    All acts meet the customers in one join.
+    """
+    ugc, created = wh.table("ugc_submissions"), day("created_at")
+    social = F.col("platform").isin(*SOCIAL_PLATFORMS)
+    acts = [
+        ugc.select(
+            F.col("customer_id").alias("id"),
+            created.alias("ugc_people"),
+            F.when(social, created).alias("social_people"),
+        ),
+        wh.table("reviews").select(F.col("customer_id").alias("id"), created.alias("review_people")),
+        wh.table("loyalty_enrollments").select(
+            F.col("customer_id").alias("id"),
+            F.lit(EVER).alias("member_buyers"),
+            (F.col("loyalty_tier") == "vip").alias("vip_tier"),
+        ),
+    ]
+    firsts = ["ugc_people", "social_people", "review_people", "member_buyers"]
+    per_person = (
+        acts[0].unionByName(acts[1], allowMissingColumns=True)
+        .unionByName(acts[2], allowMissingColumns=True)
+        .where("id is not null")
+        .groupBy("id")
+        .agg(*[F.min(c).alias(c) for c in firsts], F.max("vip_tier").alias("vip_tier"))
     )
+    is_vip = tagged_vip() | F.coalesce("vip_tier", F.lit(False))
+    days = {
+        **{c: F.col(c) for c in firsts},
+        "buyers": F.lit(EVER),
+        "vips": F.when(is_vip, F.lit(EVER)),
+    }
+
+    def mark(name: str) -> Column:
+        ones = [F.lit(1 if n == name else 0).alias(n) for n in days]
+        return F.struct(days[name].alias("date"), *ones)
+
     return (
-        firsts.join(buyers(wh).select("id"), "id", "left_semi")
+        buyers(wh)
+        .join(per_person, "id", "left")
+        .select(F.explode(F.array(*[mark(n) for n in days])).alias("m"))
+        .select("m.*")
+        .where("date is not null")
         .groupBy("date")
-        .agg(F.count("*").alias(name))
+        .agg(*[F.sum(n).alias(n) for n in days])
     )
 
 
@@ -215,16 +252,12 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
     """One row per calendar day; every figure is cumulative up to that day.
 
     Each fact table is counted per day once and summed along the calendar.
-    Distinct people are counted on the day of their first act.  Loyalty and
-    VIP headcounts carry no date and are those of now.
+    Loyalty and VIP headcounts carry no date and are those of now.
     """
     calendar = default_calendar(wh) if calendar is None else calendar
     score, created = F.col("nps_score"), day("created_at").alias("date")
     ugc = wh.table("ugc_submissions")
     social = F.col("platform").isin(*SOCIAL_PLATFORMS)
-    loyal = wh.table("loyalty_enrollments")
-    ever = F.lit(EVER).alias("date")
-    enrolled = loyal.select(F.col("customer_id").alias("id")).distinct()
     parts = [
         wh.table("nps_surveys").groupBy(F.col("survey_date").alias("date")).agg(
             F.count("*").alias("responses"),
@@ -242,14 +275,12 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
             F.count_if(F.col("status") == "approved").alias("ugc_ok"),
             F.count_if(social).alias("social"),
         ),
-        _first_days(wh, ugc, "ugc_people"),
-        _first_days(wh, ugc.where(social), "social_people"),
         wh.table("reviews").groupBy(created).agg(
             F.count("*").alias("reviews"),
             F.sum("rating").alias("rating_sum"),
             F.count("rating").alias("rating_n"),
         ),
-        _first_days(wh, wh.table("reviews"), "review_people"),
+        _people_changes(wh),
         _revenue_with_vip(
             wh,
             paid_orders(wh).select("customer_id", "total_price", day("order_date").alias("date")),
@@ -263,11 +294,9 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
             _purchase_days(OPENED).alias("opened_days"),
             _purchase_days(CLICKED).alias("clicked_days"),
         ),
-        loyal.agg(F.count("*").alias("members")).select(ever, "*"),
-        buyers(wh).agg(F.count("*").alias("buyers")).select(ever, "*"),
-        buyers(wh).join(enrolled, "id", "left_semi").agg(F.count("*").alias("member_buyers"))
-        .select(ever, "*"),
-        vips(wh).where("total_orders > 0").agg(F.count("*").alias("vips")).select(ever, "*"),
+        wh.table("loyalty_enrollments").agg(F.count("*").alias("members")).select(
+            F.lit(EVER).alias("date"), "*"
+        ),
     ]
     measures = [c for part in parts for c in part.columns if c != "date"]
     totals = running_totals(calendar, stack_sum(["date"], parts, measures), measures)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidefunnel.functions.exprs import MAIL_TOUCHES, micros_between, rounded
 from tidefunnel.operators.ordered import HOUR, floor_to, running
+from tidefunnel.operators.tables import staged
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
 
@@ -175,7 +176,8 @@ def _by_channel(credit: DataFrame) -> DataFrame:
 
 
 def _with_shares(orders: DataFrame, windows: DataFrame, per_weight: Column) -> DataFrame:
-    return orders.join(windows, ["customer_id", "order_id"]).select(
+    """Orders with touches, staged because the credit passes read them repeatedly."""
+    shares = orders.join(windows, ["customer_id", "order_id"]).select(
         "customer_id",
         "t",
         "value",
@@ -185,6 +187,7 @@ def _with_shares(orders: DataFrame, windows: DataFrame, per_weight: Column) -> D
         per_weight.alias("share"),
         (F.col("value") * per_weight).alias("amount"),
     )
+    return staged(shares, "order-shares")
 
 
 def multi_touch_linear(wh: Warehouse, lookback: int = WEEK) -> DataFrame:

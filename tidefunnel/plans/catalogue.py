@@ -21,6 +21,7 @@ from tidefunnel.functions.exprs import (
 from tidefunnel.operators.combine import left_join_spread
 from tidefunnel.operators.gaps import order_days
 from tidefunnel.operators.ordered import descending_rank
+from tidefunnel.operators.tables import staged
 from tidefunnel.plans.commerce import (
     buyers,
     campaign_performance_daily,
@@ -187,6 +188,8 @@ def bestseller_rank(wh: Warehouse) -> DataFrame:
         .join(product_units_revenue_paid(wh), "product_id", "left")
         .fillna({"units_sold": 0, "revenue": 0.0})
     )
+    # ranking passes over the products several times
+    sold = staged(sold, "products-sold")
     return descending_rank(
         descending_rank(sold, "units_sold", "units_rank"), "revenue", "revenue_rank"
     )

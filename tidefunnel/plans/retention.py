@@ -26,6 +26,7 @@ from tidefunnel.functions.exprs import (
 from tidefunnel.operators import gaps
 from tidefunnel.operators.calendar import running_totals, sampled_history
 from tidefunnel.operators.quantile import exact_median
+from tidefunnel.operators.tables import staged
 from tidefunnel.plans.commerce import buyers, paid_orders
 from tidefunnel.plans.consideration import is_event, percent
 from tidefunnel.registry import register
@@ -204,7 +205,7 @@ def customer_predictions(wh: Warehouse) -> DataFrame:
     return wh.table("klaviyo_predictive_metrics").join(profiles, "profile_id")
 
 
-def _replenishment_misses(wh: Warehouse) -> DataFrame:
+def _replenishment_misses(wh: Warehouse, order_days: DataFrame | None) -> DataFrame:
     """Days between each buyer's latest predicted order date and the next order."""
     ids = buyers(wh).select(F.col("id").alias("customer_id"))
     predicted = (
@@ -219,9 +220,9 @@ def _replenishment_misses(wh: Warehouse) -> DataFrame:
         )
         .join(ids, "customer_id", "left_semi")
     )
+    days = gaps.order_days(paid_orders(wh)) if order_days is None else order_days
     return (
-        gaps.order_days(paid_orders(wh))
-        .join(predicted, "customer_id")
+        days.join(predicted, "customer_id")
         .where("date > p.made_on")
         .groupBy("customer_id")
         .agg(
@@ -232,8 +233,8 @@ def _replenishment_misses(wh: Warehouse) -> DataFrame:
     )
 
 
-def replenishment_accuracy(wh: Warehouse) -> DataFrame:
-    return _replenishment_misses(wh).agg(
+def replenishment_accuracy(wh: Warehouse, order_days: DataFrame | None = None) -> DataFrame:
+    return _replenishment_misses(wh, order_days).agg(
         ratio0(F.sum("miss"), F.count("miss"), 2).alias("replenishment_accuracy")
     )
 
@@ -485,9 +486,9 @@ def retention_metrics_daily(
     those of now on every day, as established.
     """
     calendar = default_calendar(wh) if calendar is None else calendar
-    days = gaps.order_days(paid_orders(wh))
+    days = staged(gaps.order_days(paid_orders(wh)), "order-days")
     constants = [
-        replenishment_accuracy(wh).select(F.lit(EVER).alias("date"), "*"),
+        replenishment_accuracy(wh, days).select(F.lit(EVER).alias("date"), "*"),
         avg_ltv_cac_ratio(wh).select(F.lit(EVER).alias("date"), "*"),
         exact_median(buyers(wh), "total_revenue", "ltv_median").select(F.lit(EVER).alias("date"), "*"),
     ]
