@@ -491,14 +491,12 @@ def new_vs_returning(wh: Warehouse) -> DataFrame:
 
 
 def traffic_by_referrer(wh: Warehouse) -> DataFrame:
+    tags = ["referrer", "utm_source", "utm_medium"]
     return (
         wh.table("shopify_events")
         .where("event_type in ('page_viewed', 'product_viewed')")
-        .groupBy(
-            json_text("event_properties", "referrer").alias("source"),
-            json_text("event_properties", "utm_source").alias("utm_source"),
-            json_text("event_properties", "utm_medium").alias("utm_medium"),
-        )
+        .select(F.json_tuple("event_properties", *tags).alias("source", *tags[1:]))
+        .groupBy("source", *tags[1:])
         .agg(F.count("*").alias("traffic_count"))
     )
 
@@ -705,15 +703,14 @@ def traffic_source_metrics_daily(
     """
     tags = ["utm_source", "utm_medium", "utm_campaign"]
     events = wh.table("shopify_events").where(in_days("occurred_at", start, end))
-    props = "event_properties"
     web = (
         events.select(
             day("occurred_at").alias("date"),
             "session_id",
             "customer_id",
-            json_text(props, "referrer").alias("referrer"),
-            *[json_text(props, t).alias(t) for t in tags],
             (F.col("event_type") == "page_viewed").alias("is_view"),
+            # one parse of the JSON for all four keys
+            F.json_tuple("event_properties", "referrer", *tags).alias("referrer", *tags),
         )
         .groupBy("date", "session_id", "customer_id", "referrer", *tags)
         .agg(F.count("*").alias("events"), F.count_if("is_view").alias("views"))

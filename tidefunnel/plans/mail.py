@@ -66,7 +66,8 @@ def _header(name: str) -> Column:
 
 def _decoded(data: Column) -> Column:
     """Text of a base64url body; bytes that are no UTF-8 become U+FFFD."""
-    return F.make_valid_utf8(F.unbase64(F.translate(data, "-_", "+/")).cast("string"))
+    plain = F.replace(F.replace(data, F.lit("-"), F.lit("+")), F.lit("_"), F.lit("/"))
+    return F.make_valid_utf8(F.unbase64(plain).cast("string"))
 
 
 def _filled(text: Column) -> Column:

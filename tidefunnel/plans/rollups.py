@@ -11,10 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from tidefunnel.functions.exprs import in_dates
 from tidefunnel.operators.calendar import days_between, session_days, source_range
 from tidefunnel.operators.tables import read_table, replace_all, replace_days
 from tidefunnel.plans.acquisition import acquisition_metrics_daily, traffic_source_metrics_daily
 from tidefunnel.plans.advocacy import advocacy_metrics_daily
+from tidefunnel.plans.commerce import (
+    campaign_performance_daily,
+    customer_metrics_daily,
+    product_performance_daily,
+)
 from tidefunnel.plans.consideration import consideration_metrics_daily, session_engagement_daily
 from tidefunnel.plans.retention import (
     customer_retention_cohorts,
@@ -33,6 +39,15 @@ def _on_calendar(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return build
 
 
+def _days_of(fn: Callable[[Warehouse], DataFrame]) -> Callable[..., DataFrame]:
+    """Tables grouped by date: the filter moves below the aggregation."""
+
+    def build(wh: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
+        return fn(wh).where(in_dates("date", start, end))
+
+    return build
+
+
 def _consideration(wh: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
     return consideration_metrics_daily(wh, start, end, days_between(wh.spark, start, end))
 
@@ -44,6 +59,9 @@ DAILY: dict[str, Callable[[Warehouse, dt.date, dt.date], DataFrame]] = {
     "session_engagement_daily": lambda wh, s, e: session_engagement_daily(wh, s, e),
     "retention_metrics_daily": _on_calendar(retention_metrics_daily),
     "advocacy_metrics_daily": _on_calendar(advocacy_metrics_daily),
+    "customer_metrics_daily": _days_of(customer_metrics_daily),
+    "campaign_performance_daily": _days_of(campaign_performance_daily),
+    "product_performance_daily": _days_of(product_performance_daily),
 }
 
 

@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 
 def base64url(text: Column) -> Column:
     """URL-safe base64 without padding or line breaks."""
-    return F.rtrim(F.translate(F.base64(text.cast("binary")), "+/\r\n", "-_"), F.lit("="))
+    encoded = F.base64(text.cast("binary"))
+    # byte-wise replace is far quicker on long texts than translate
+    for old, new in (("\r\n", ""), ("+", "-"), ("/", "_")):
+        encoded = F.replace(encoded, F.lit(old), F.lit(new))
+    return F.rtrim(encoded, F.lit("="))
 
 
 def raw_messages(documents: DataFrame) -> DataFrame:

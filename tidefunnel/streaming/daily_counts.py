@@ -9,7 +9,7 @@ from tidefunnel.registry import register
 from tidefunnel.session import work_folder
 from tidefunnel.sources.schemas import RAW_SCHEMAS
 from tidefunnel.sources.warehouse import Warehouse
-from tidefunnel.streaming.ingest import store_batch
+from tidefunnel.streaming.ingest import batches, store_batch
 
 
 def daily_counts(events: DataFrame, lateness: str = "2 days") -> DataFrame:
@@ -38,7 +38,7 @@ def run_daily_counts(events: DataFrame, root: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    stored = events.sparkSession.read.schema(f"{counts.schema.toDDL()}, batch bigint").parquet(path)
+    stored = batches(events.sparkSession, path, counts)
     return stored.groupBy("date", "event_type").agg(F.max_by("events", "batch").alias("events"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from tidefunnel.operators.tables import folder_exists
 from tidefunnel.plans.mail import normalize_messages
 from tidefunnel.registry import register
 from tidefunnel.session import work_folder
@@ -35,6 +37,14 @@ def store_batch(path: str):
     return store
 
 
+def batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """All stored micro-batches, with their number; none is an empty table."""
+    schema = StructType([*like.schema.fields, StructField("batch", LongType())])
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def run_ingest(
     messages: DataFrame, root: str, once: bool = True, poll: str = POLL
 ) -> DataFrame:
@@ -49,7 +59,7 @@ def run_ingest(
         query.awaitTermination()
     spark = messages.sparkSession
     # a mail that came back after its id had left the state is stored twice; keep the first
-    stored = spark.read.schema(f"{mails.schema.toDDL()}, batch bigint").parquet(path)
+    stored = batches(spark, path, mails)
     fields = [c for c in mails.columns if c != "gmail_message_id"]
     return (
         stored.groupBy("gmail_message_id")
