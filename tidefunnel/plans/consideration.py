@@ -16,6 +16,7 @@ from tidefunnel.functions.exprs import (
     OPENED,
     SENT,
     day,
+    in_dates,
     in_days,
     json_text,
     ratio,
@@ -25,6 +26,7 @@ from tidefunnel.functions.exprs import (
 )
 from tidefunnel.operators.calendar import source_range
 from tidefunnel.operators.combine import left_join_spread, stack_sum
+from tidefunnel.operators.tables import staged
 from tidefunnel.plans.acquisition import BOUNCED, viewed_sessions
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
@@ -150,25 +152,32 @@ def email_ctr(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     )
 
 
-def repeat_days(wh: Warehouse, start: Date = None, end: Date = None, window: int = 7) -> DataFrame:
-    """Customer days followed by a visit in another session within ``window`` days.
+LOOK_AHEAD = 7  # days within which a visit counts as repeated
 
-    Two sessions exist in [d, d + window] exactly when the least and the
-    greatest session id there differ, and then every session of day d has
-    another one.  The window only needs the least and greatest id per customer
-    and day, so a busy customer brings one row per day, not one per event.
+
+def and_after(end: Date) -> Date:
+    """End of the events that decide about repeat visits up to ``end``."""
+    return end + dt.timedelta(days=LOOK_AHEAD) if end else None
+
+
+def repeat_days(visits: DataFrame) -> DataFrame:
+    """Customer days followed by a visit in another session within a week.
+
+    ``visits`` has customer_id, session_id and date.  Two sessions exist in
+    [d, d + 7] exactly when the least and the greatest session id there differ,
+    and then every session of day d has another one.  The window only needs
+    the least and greatest id per customer and day, so a busy customer brings
+    one row per day, not one per event.
     """
-    until = end + dt.timedelta(days=window) if end else None
     per_day = (
-        web_events(wh, start, until)
-        .where("customer_id is not null and session_id is not null")
-        .groupBy("customer_id", day("occurred_at").alias("date"))
+        visits.where("customer_id is not null and session_id is not null")
+        .groupBy("customer_id", "date")
         .agg(F.min("session_id").alias("lo"), F.max("session_id").alias("hi"))
     )
     ahead = (
         Window.partitionBy("customer_id")
         .orderBy(F.unix_date("date"))
-        .rangeBetween(Window.currentRow, window)
+        .rangeBetween(Window.currentRow, LOOK_AHEAD)
     )
     return per_day.select(
         "customer_id",
@@ -177,11 +186,14 @@ def repeat_days(wh: Warehouse, start: Date = None, end: Date = None, window: int
     )
 
 
-def _with_repeats(wh: Warehouse, pairs: DataFrame, start: Date, end: Date) -> DataFrame:
-    """Add the repeat flag to (date, session, customer) rows; NULL without one."""
+def _with_repeats(all_pairs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (date, session, customer) rows with the repeat flag.
+
+    ``all_pairs`` also holds the days after the range (:func:`and_after`).
+    """
     return left_join_spread(
         pairs,
-        repeat_days(wh, start, end),
+        repeat_days(all_pairs),
         ["customer_id", "date"],
         nullable="customer_id",
         spread_by="session_id",
@@ -191,13 +203,19 @@ def _with_repeats(wh: Warehouse, pairs: DataFrame, start: Date, end: Date) -> Da
 def repeat_visit_rate_7d(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     """Sessions with another session of the customer within seven days of the
     session's first day in the range, per (session, customer) pair."""
-    pairs = (
-        web_events(wh, start, end)
+    visits = staged(
+        web_events(wh, start, and_after(end))
         .where("customer_id is not null and session_id is not null")
+        .select("customer_id", "session_id", day("occurred_at").alias("date"))
+        .distinct(),
+        "visits",
+    )
+    pairs = (
+        visits.where(in_dates("date", start, end))
         .groupBy("session_id", "customer_id")
-        .agg(day(F.min("occurred_at")).alias("date"))
+        .agg(F.min("date").alias("date"))
     )
-    flagged = pairs.join(repeat_days(wh, start, end), ["customer_id", "date"], "left")
+    flagged = pairs.join(repeat_days(visits), ["customer_id", "date"], "left")
     per_session = flagged.groupBy("session_id").agg(
         F.count("*").alias("pairs"), F.max(F.col("repeats").cast("int")).alias("repeats")
     )
@@ -267,13 +285,11 @@ def consideration_metrics_daily(
     groups web events by (day, session, customer); everything about sessions
     follows from that much smaller table.
     """
-    if calendar is None:
-        calendar = source_range(web_events(wh, start, end), "occurred_at")
     is_view = is_event("product_viewed")
     depth = json_text("event_properties", "scroll_depth").cast("decimal(12,4)")
     page = is_event("page_viewed")
-    pairs = (
-        web_events(wh, start, end)
+    all_pairs = (
+        web_events(wh, start, and_after(end))
         .groupBy(day("occurred_at").alias("date"), "session_id", "customer_id")
         .agg(
             F.count_if(is_view).alias("product_views"),
@@ -290,7 +306,12 @@ def consideration_metrics_daily(
             F.count(F.when(page, depth)).alias("depth_n"),
         )
     )
-    per_pair = _with_repeats(wh, pairs, start, end)
+    # staged, so the events are read once for sessions, repeat visits and days
+    all_pairs = staged(all_pairs, "session-pairs")
+    pairs = all_pairs.where(in_dates("date", start, end))
+    per_pair = _with_repeats(all_pairs, pairs)
+    if calendar is None:
+        calendar = source_range(pairs, "date")
     counts = [
         "product_views", "carts", "wishes", "checkout_starts", "checkout_ends", "page_views",
         "depth_sum", "depth_n",
@@ -376,8 +397,8 @@ def session_engagement_daily(wh: Warehouse, start: Date = None, end: Date = None
     """One row per (day, session, customer) with counts and behaviour flags."""
     page = is_event("page_viewed")
     depth = json_text("event_properties", "scroll_depth").cast("decimal(12,4)")
-    pairs = (
-        web_events(wh, start, end)
+    all_pairs = (
+        web_events(wh, start, and_after(end))
         .where("session_id is not null")
         .groupBy(day("occurred_at").alias("date"), "session_id", "customer_id")
         .agg(
@@ -392,7 +413,8 @@ def session_engagement_daily(wh: Warehouse, start: Date = None, end: Date = None
             ratio(F.sum(depth), F.count(depth), 2).alias("avg_scroll_depth_percent"),
         )
     )
-    rows = _with_repeats(wh, pairs, start, end)
+    all_pairs = staged(all_pairs, "session-pairs")
+    rows = _with_repeats(all_pairs, all_pairs.where(in_dates("date", start, end)))
     one_page = F.col("page_views_count") == 1
     brief = seconds() < 30
     return rows.select(

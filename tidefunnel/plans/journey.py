@@ -80,13 +80,21 @@ def _daily_rate_per_customer(wh: Warehouse, column: str, name: str) -> DataFrame
 
 def customer_journey(wh: Warehouse) -> DataFrame:
     """Each buyer from first ad to loyalty: cost, carts, dwell time, churn, advocacy."""
-    events = wh.table("shopify_events").where("customer_id is not null")
-    spans = (
-        events.where("session_id is not null")
+    in_session = F.col("session_id").isNotNull()
+    visits = (
+        wh.table("shopify_events")
+        .where("customer_id is not null")
         .groupBy(F.col("customer_id").alias("id"), "session_id")
-        .agg(span_seconds(F.min("occurred_at"), F.max("occurred_at")).alias("s"))
+        .agg(
+            span_seconds(F.min("occurred_at"), F.max("occurred_at")).alias("s"),
+            F.count_if(is_event(CART)).alias("carts"),
+        )
         .groupBy("id")
-        .agg(F.sum("s").alias("span_sum"), F.count("*").alias("span_n"))
+        .agg(
+            F.sum(F.when(in_session, F.col("s"))).alias("span_sum"),
+            F.count_if(in_session).alias("span_n"),
+            F.sum("carts").alias("cart_adds"),
+        )
     )
     facts = _stack(
         [
@@ -96,8 +104,7 @@ def customer_journey(wh: Warehouse) -> DataFrame:
                 cost=F.sum("spend"),
                 ad_conversions=F.count_if(F.col("event_type") == "conversion"),
             ),
-            per_customer(events, "customer_id", cart_adds=F.count_if(is_event(CART))),
-            spans,
+            visits,
             per_customer(
                 customer_predictions(wh),
                 "customer_id",

@@ -105,8 +105,7 @@ def avg_reorder_probability(wh: Warehouse) -> DataFrame:
     latest = (
         wh.table("klaviyo_predictive_metrics")
         .groupBy("profile_id")
-        .agg(F.max_by(F.struct("predicted_next_order_date"), "calculated_at").alias("p"))
-        .select(F.col("p.predicted_next_order_date").alias("due"))
+        .agg(F.max_by("predicted_next_order_date", "calculated_at").alias("due"))
     )
     today = F.lit(wh.as_of)
     ahead = F.count_if(F.col("due") >= today)
@@ -328,7 +327,7 @@ def _prediction_changes(wh: Warehouse) -> list[DataFrame]:
         wh.table("klaviyo_predictive_metrics")
         .groupBy("profile_id", day("calculated_at").alias("date"))
         .agg(
-            F.max_by(F.struct("predicted_next_order_date"), made).alias("p"),
+            F.max_by("predicted_next_order_date", made).alias("due"),
             *[F.max_by(v, F.when(F.col(v).isNotNull(), made)).alias(k) for k, v in values.items()],
         )
     )
@@ -336,7 +335,7 @@ def _prediction_changes(wh: Warehouse) -> list[DataFrame]:
     before = history.rowsBetween(Window.unboundedPreceding, -1)
     steps = per_day.select(
         "date",
-        F.col("p.predicted_next_order_date").alias("due"),
+        "due",
         F.lead("date").over(history).alias("until"),
         *[F.col(k) for k in values],
         *[F.last(k, ignorenulls=True).over(before).alias(f"{k}_was") for k in values],
