@@ -230,3 +230,40 @@ def near_duplicates(
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their class; rows that share an id stay together."""
+    gone = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
+    gone = gone.withColumnRenamed("doc_id", "_gone")
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+
+
+# --- the same for DuckDB -------------------------------------------------------
+
+
+def near_duplicate_sql() -> str:
+    """All pairs with a common shingle, and everything that can be reached from each document."""
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+    return f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {words} AS w FROM documents),
+    shingle AS MATERIALIZED (
+        SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], chr(31))) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+    ),
+    size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    link AS MATERIALIZED (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+        JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+    ),
+    reach(a, b) AS (
+        SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+    ),
+    least AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+           d.doc_id <= coalesce(m, d.doc_id) AS kept
+    FROM d LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
+    """

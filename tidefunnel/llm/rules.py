@@ -171,14 +171,10 @@ def cascade(texts: list[bytes], rules: list[Rule]) -> np.ndarray:
     return kept
 
 
-def with_verdict(
+def passing(
     docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, order: list[str] | None = None
 ) -> DataFrame:
-    """All columns of ``docs`` and ``kept``; NULL and empty texts have no words and go.
-
-    A column that is already called ``kept`` is replaced.
-    """
-    docs = docs.drop("kept")
+    """The rows of ``docs`` that no rule rejects; NULL and empty texts have no words and go."""
     order = order or plan_order(_own(docs, text_col), rules)
     by = {r.name: r for r in rules}
     ordered = [by[name] for name in order]
@@ -189,7 +185,48 @@ def with_verdict(
 
         return pd.Series(cascade([(t or "").encode() for t in text], ordered))
 
-    return docs.withColumn("kept", kept(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return docs.where(kept(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+
+# --- the same for DuckDB -------------------------------------------------------
+
+
+def rules_sql() -> str:
+    gap = r"\x20\x09-\x0D"
+    return rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^{gap}]+') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda x: regexp_matches(x, '[^{gap}]')) AS lines
+        FROM documents
+    ),
+    gram AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+    ),
+    again AS (
+        SELECT doc_id, count(DISTINCT i + j) AS n FROM gram, (VALUES (0), (1), (2)) AS o(j)
+        WHERE times > 1 GROUP BY doc_id
+    ),
+    m AS (
+        SELECT d.doc_id, t, len(w)::BIGINT AS n_words,
+               coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+               (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+               coalesce(again.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+               length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS up,
+               length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS letters,
+               length(t) - length(regexp_replace(t, '[!?]', '', 'g')) AS marks
+        FROM d LEFT JOIN again USING (doc_id)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 4 * n_symbols > n_words
+                OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines) OR 2 * up > letters
+                OR 3 * marks > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+    FROM m
+    """
 
 
 def _own(docs: DataFrame, text_col: str) -> DataFrame:
