@@ -78,3 +78,13 @@ def test_probed_search(spark, data):
     assert hits >= 10  # recall of at least two thirds
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_vectors_that_are_no_vectors(spark):
+    """NULL, NaN and short vectors are left out and push nothing else out."""
+    nan = float("nan")
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [nan, nan]), (4, [nan, 1.0]), (5, None), (6, [1.0]), (7, [nan, 0.0])]
+    corpus = spark.createDataFrame(rows, "email_id long, embedding array<float>").coalesce(1)
+    questions = spark.createDataFrame([(9, [1.0, 0.0])], "question_id long, embedding array<float>")
+    got = nearest(corpus, questions, 3).orderBy("rank").collect()
+    assert [r.email_id for r in got] == [1, 2]

@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 BLOCK = 1024  # questions answered per scan; more are answered block by block
-TRAINING_ROWS_PER_CELL = 256
+
+
+def usable(table: DataFrame) -> DataFrame:
+    """Rows whose vector is there, has no NULL and only finite numbers."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    return table.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & finite)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -66,7 +71,8 @@ def _block_hits(
                 }
             )
 
-    near = corpus.select("email_id", "embedding").mapInArrow(best, schema)
+    fitting = usable(corpus).where(F.size("embedding") == questions.shape[1])
+    near = fitting.select("email_id", "embedding").mapInArrow(best, schema)
     ranked = near.withColumn(
         "rank",
         F.row_number().over(Window.partitionBy("question").orderBy("l2", "email_id")),
@@ -79,9 +85,11 @@ def _block_hits(
 
 def _blocks(questions: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
     """Questions in blocks of bounded size, streamed to the driver."""
-    rows = questions.select("question_id", "embedding").toLocalIterator()
+    rows = usable(questions).select("question_id", "embedding").toLocalIterator()
     while block := list(islice(rows, BLOCK)):
-        yield [r[0] for r in block], np.array([r[1] for r in block], dtype=np.float64)
+        for size in sorted({len(r[1]) for r in block}):
+            own = [r for r in block if len(r[1]) == size]
+            yield [r[0] for r in own], np.array([r[1] for r in own], dtype=np.float64)
 
 
 def nearest(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
@@ -89,7 +97,8 @@ def nearest(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
 
     Ordered by Euclidean distance, with the cosine similarity alongside.
     ``questions`` has question_id and embedding; a block of up to 1,024 of
-    them shares one scan of the corpus.
+    them shares one scan of the corpus.  Vectors that are NULL, not finite or of
+    another length than the question's are no neighbours.
     """
     result = None
     id_type = questions.schema["question_id"].dataType
@@ -108,16 +117,8 @@ def nearest(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
 
 
 def train_cells(corpus: DataFrame, cells: int, seed: int = 7) -> np.ndarray:
-    """Cell centres by cosine k-means.
-
-    Only the centres depend on the training rows; on a large table a part of
-    it is enough to place them.
-    """
-    rows = corpus.select(array_to_vector("embedding").alias("features"))
-    total = corpus.count()
-    wanted = cells * TRAINING_ROWS_PER_CELL
-    if total > 2 * wanted:
-        rows = rows.sample(wanted / total, seed)
+    """Cell centres by cosine k-means over all usable vectors, whatever their number."""
+    rows = usable(corpus).select(array_to_vector("embedding").alias("features"))
     model = KMeans(
         k=cells, seed=seed, distanceMeasure="cosine", featuresCol="features", maxIter=10
     ).fit(rows)
@@ -147,7 +148,7 @@ def write_cells(corpus: DataFrame, centres: np.ndarray, path: str) -> None:
                 names=["email_id", "embedding", "cell"],
             )
 
-    placed = corpus.select("email_id", "embedding").mapInArrow(
+    placed = usable(corpus).select("email_id", "embedding").mapInArrow(
         assign, f"email_id {id_type}, embedding array<float>, cell int"
     )
     placed.hint("rebalance", "cell").write.mode("overwrite").option(

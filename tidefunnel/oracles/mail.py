@@ -48,7 +48,7 @@ SQL = {
         WITH {NORMAL} SELECT gmail_message_id, address AS reply_address FROM normal""",
     "compose_reply": f"""
         WITH {NORMAL}, r AS (
-          SELECT gmail_message_id, address AS to_address, message_id_header, snippet,
+          SELECT gmail_message_id, address AS to_address, message_id_header, body_text,
                  'Re: ' || CASE WHEN subject = '' THEN 'Your question' ELSE subject END AS subject
           FROM normal)
         SELECT gmail_message_id, to_address, subject,
@@ -57,7 +57,7 @@ SQL = {
                  || chr(13) || chr(10) || 'In-Reply-To: ' || message_id_header
                  || chr(13) || chr(10) || 'References: ' || message_id_header
                  || chr(13) || chr(10) || 'Content-Type: text/plain; charset=utf-8'
-                 || chr(13) || chr(10) || chr(13) || chr(10) || snippet)), '+/', '-_'), '=') AS raw
+                 || chr(13) || chr(10) || chr(13) || chr(10) || body_text)), '+/', '-_'), '=') AS raw
         FROM r""",
     "similarity_search": f"""
         WITH {HITS} SELECT question_id, CAST(rank AS INTEGER) AS rank, email_id,

@@ -249,7 +249,7 @@ def _q_reply_address(wh: Warehouse) -> DataFrame:
 
 
 def _q_compose_reply(wh: Warehouse) -> DataFrame:
-    mails = normalize_messages(_messages(wh)).withColumn("answer", F.col("snippet"))
+    mails = normalize_messages(_messages(wh)).withColumn("answer", F.col("body_text"))
     return compose_replies(mails)
 
 

@@ -17,15 +17,13 @@ from tidefunnel.sources.warehouse import Warehouse
 POLL = "2 minutes"
 
 
-def new_mails(messages: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Normalised mails of a stream of (id, received_at, message), each id once.
+def new_mails(messages: DataFrame) -> DataFrame:
+    """Normalised mails of a stream of (id, received_at, message).
 
     Messages that cannot be read are left out, as one bad mail must not stop
-    the rest.  A repeat within ``lateness`` of the first is dropped; the state
-    keeps ids no longer than that.
+    the rest.  Mails of any age pass: nothing is dropped for being late.
     """
-    once = messages.withWatermark("received_at", lateness).dropDuplicatesWithinWatermark(["id"])
-    return normalize_messages(once).where("gmail_message_id is not null")
+    return normalize_messages(messages).where("gmail_message_id is not null")
 
 
 def store_batch(path: str):
@@ -37,6 +35,21 @@ def store_batch(path: str):
     return store
 
 
+def store_new(path: str, key: str):
+    """Sink that stores each ``key`` once: repeats go against all that earlier batches stored.
+
+    Only the ids of the stored rows are read.  A retried batch is compared with
+    the batches before it, so it stores the same rows again.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        stored = batches(batch.sparkSession, path, batch).where(F.col("batch") < batch_id)
+        fresh = batch.dropDuplicates([key]).join(stored.select(key), key, "left_anti")
+        store_batch(path)(fresh.select(*batch.columns), batch_id)
+
+    return store
+
+
 def batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """All stored micro-batches, with their number; none is an empty table."""
     schema = StructType([*like.schema.fields, StructField("batch", LongType())])
@@ -51,32 +64,25 @@ def run_ingest(
     """Start the ingest; with ``once`` take all there is, wait and return the mails."""
     mails = new_mails(messages)
     path = f"{root}/mails"
-    writer = mails.writeStream.foreachBatch(store_batch(path)).option(
+    writer = mails.writeStream.foreachBatch(store_new(path, "gmail_message_id")).option(
         "checkpointLocation", f"{root}/checkpoint"
     )
     query = (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
     if once:
         query.awaitTermination()
-    spark = messages.sparkSession
-    # a mail that came back after its id had left the state is stored twice; keep the first
-    stored = batches(spark, path, mails)
-    fields = [c for c in mails.columns if c != "gmail_message_id"]
-    return (
-        stored.groupBy("gmail_message_id")
-        .agg(F.min_by(F.struct(*fields), "batch").alias("m"))
-        .select("gmail_message_id", "m.*")
-    )
+    return batches(messages.sparkSession, path, mails).drop("batch")
+
+
+def table_stream(wh: Warehouse, name: str) -> DataFrame:
+    """A given table as a stream of its files, be it one file or a folder of parts."""
+    # as a pattern, the path may name a file as well as a folder
+    path = f"{wh.raw_dir}/{name}.parque[t]"
+    return wh.spark.readStream.schema(RAW_SCHEMAS[name]).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def stream_ingest_messages(wh: Warehouse) -> DataFrame:
     """All documents as a message stream through the ingest job."""
-    files = (
-        wh.spark.readStream.schema(RAW_SCHEMAS["documents"])
-        .option("pathGlobFilter", "documents.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(wh.raw_dir)
-    )
-    messages = raw_messages(files)
+    messages = raw_messages(table_stream(wh, "documents"))
     # deliver every message twice, as a mailbox that is polled does
     twice = messages.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
     return run_ingest(twice, work_folder(wh.spark, "ingest"))
