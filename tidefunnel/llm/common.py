@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Functions travel to the executors whole, so these need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules["tidefunnel"])
-
-
 def documents(source: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), so that no other column can clash; NULL texts are empty."""
     return source.select(
