@@ -3,16 +3,18 @@
 1. Each text becomes its set of distinct 5-word shingles, a sketch and 64 bands.
 2. Equal sets collapse to the smallest document id; only these go on.
 3. Documents that share a band meet the smallest one of that bucket (its hub), so
-   a bucket of n gives n - 1 pairs, not n * n.  Pairs whose sketches are far below
-   the threshold go; all others are confirmed on their full sets.
-4. Buckets whose documents are still in several components are looked at again:
-   every pair across components meets, small buckets by a join, large ones in
-   blocks of BLOCK by BLOCK sketches inside a task.  So no link that would join
-   two components is lost to the hubs.
+   a bucket of n gives n - 1 pairs, not n * n.  Sketches estimate each pair; every
+   document is compared with its most similar hub on their full sets.
+4. Buckets whose documents are still in several components are looked at again, by
+   the documents outside a bucket's largest component: first each with its most
+   similar partner in another component, then, as few are left, with every partner
+   in another component.  Small buckets meet by a join, large ones in blocks of
+   BLOCK by BLOCK sketches inside a task; only pairs over CLOSE come out.  So no link
+   that would join two components is lost.
 5. Components of the confirmed links name the classes.
 
-A pair at similarity 0.75 shares no band with a chance of 3e-8.  The estimate of
-step 3 drops pairs below CLOSE = 0.55, eight standard deviations under 0.75.
+A pair at similarity 0.75 shares no band with a chance of 3e-8, and the estimate of
+such a pair falls under CLOSE = 0.62, five standard deviations below, as rarely.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from tidefunnel.llm.common import documents
 from tidefunnel.llm.components import components
 from tidefunnel.operators.tables import staged
 
-CLOSE = 0.55
+CLOSE = 0.62
 BLOCK = 256
 SKETCHED = "doc_id long, n_shingles long, same binary, bands array<long>, short binary"
 SETS = "doc_id long, n long, shingle array<long>"
@@ -88,52 +90,56 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _close(left: str, right: str) -> F.Column:
-    """Share of equal sketch bytes, without the chance hits of one byte, is CLOSE or more."""
+def _estimate(left: str, right: str) -> F.Column:
+    """Share of equal sketch bytes, without the chance hits of one byte."""
 
-    @F.pandas_udf("boolean")
-    def close(a, b):
+    @F.pandas_udf("double")
+    def estimate(a, b):
         import pandas as pd
 
         if not len(a):
-            return pd.Series([], dtype=bool)
+            return pd.Series([], dtype=float)
         x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
         y = np.frombuffer(b"".join(b), np.uint8).reshape(len(b), -1)
-        share = (x == y).mean(axis=1)
-        return pd.Series((share - 1 / 256) / (1 - 1 / 256) >= CLOSE)
+        return pd.Series(((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256))
 
-    return close(left, right)
+    return estimate(left, right)
 
 
-def _blocks(frames):
-    """Close pairs across components of one block against another of the same bucket."""
-    import pandas as pd
-
-    key, parts = None, []
+def _blocks(best: bool):
+    """Close pairs of a block of outsiders with a block of all documents of their bucket."""
 
     def pairs(rows):
+        import pandas as pd
+
         rows = pd.concat(rows) if len(rows) > 1 else rows[0]
         a, b = rows[rows.side == 0], rows[rows.side == 1]
         if not len(a) or not len(b):
             return
-        x = np.frombuffer(b"".join(a.short), np.uint8).reshape(len(a), -1)
         y = np.frombuffer(b"".join(b.short), np.uint8).reshape(len(b), -1)
         ids, labels = b.rep.to_numpy(), b.label.to_numpy()
-        for rep, label, one in zip(a.rep, a.label, x, strict=True):
-            share = ((one == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            hit = ids[(share >= CLOSE) & (labels != label)]
+        for rep, label, one in zip(a.rep, a.label, a.short, strict=True):
+            share = ((np.frombuffer(one, np.uint8) == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+            share[labels == label] = 0
+            hit = np.flatnonzero(share >= CLOSE)
+            if best and len(hit):
+                hit = hit[[share[hit].argmax()]]
             if len(hit):
-                yield pd.DataFrame({"a": np.minimum(hit, rep), "b": np.maximum(hit, rep)})
+                yield pd.DataFrame({"a": rep, "b": ids[hit], "est": share[hit]})
 
-    for frame in frames:
-        for k, part in frame.groupby(["bucket", "i", "j"], sort=False):
-            if k != key and parts:
-                yield from pairs(parts)
-                parts = []
-            key = k
-            parts.append(part)
-    if parts:
-        yield from pairs(parts)
+    def run(frames):
+        key, parts = None, []
+        for frame in frames:
+            for k, part in frame.groupby(["bucket", "i", "j"], sort=False):
+                if k != key and parts:
+                    yield from pairs(parts)
+                    parts = []
+                key = k
+                parts.append(part)
+        if parts:
+            yield from pairs(parts)
+
+    return run
 
 
 def near_duplicates(
@@ -160,21 +166,31 @@ def near_duplicates(
     members = staged(banded.join(shared.where("m > 1"), "bucket"), "buckets")
     short = distinct.select("rep", "short")
 
+    # full sets of all that share a bucket; their texts move once, at any size the same way
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = plain.hint("merge").join(ids, "doc_id", "left_semi")
+    full = staged(texts.mapInArrow(_full_sets, SETS).dropDuplicates(["doc_id"]), "sets")
+
     def estimated(pairs: DataFrame) -> DataFrame:
         a = short.select(F.col("rep").alias("a"), F.col("short").alias("x"))
         b = short.select(F.col("rep").alias("b"), F.col("short").alias("y"))
-        return pairs.join(a, "a").join(b, "b").where(_close("x", "y")).select("a", "b")
+        found = pairs.join(a, "a").join(b, "b").withColumn("est", _estimate("x", "y"))
+        return found.where(F.col("est") >= CLOSE).select("a", "b", "est")
+
+    def most_similar(pairs: DataFrame) -> DataFrame:
+        """One pair for each a: that of the largest estimate, then of the smallest b."""
+        top = F.max(F.struct("est", (-F.col("b")).alias("less"))).alias("top")
+        return pairs.groupBy("a").agg(top).select("a", (-F.col("top.less")).alias("b"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "pairs")
-        ids = pairs.select("a").union(pairs.select("b")).distinct()
-        texts = plain.join(ids.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi")
-        full = staged(texts.mapInArrow(_full_sets, SETS).dropDuplicates(["doc_id"]), "sets")
         x = full.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingle").alias("sa"))
         y = full.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingle").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb")).cast("long")
+        least, most = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         return staged(
-            pairs.join(x, "a")
+            pairs.select(least, most)
+            .distinct()
+            .join(x, "a")
             .join(y, "b")
             .where(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
             .withColumn("both", both)
@@ -183,45 +199,49 @@ def near_duplicates(
             "links",
         )
 
-    first = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    links = confirmed(estimated(first.distinct()))
-    labels = staged(components(links), "labels")
-
-    found = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    found = found.select("bucket", "rep", "m", F.coalesce("component", "rep").alias("label"))
-    several = found.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rest = staged(found.join(several.where("lo <> hi"), "bucket").drop("lo", "hi"), "open")
-    few = rest.where(F.col("m") <= BLOCK // 8)
-    pairs = (
-        few.select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
-        .join(few.select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb")), "bucket")
-        .where("a < b and la <> lb")
-        .select("a", "b")
-        .distinct()
-    )
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    many = (
-        rest.where(F.col("m") > BLOCK // 8)
-        .join(short, "rep")
-        .withColumn("g", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "bucket", "rep", "label", "short",
-            F.least("g", "other").alias("i"), F.greatest("g", "other").alias("j"),
-            F.explode(
-                F.when(F.col("g") == F.col("other"), F.array(F.lit(0), F.lit(1)))
-                .when(F.col("g") < F.col("other"), F.array(F.lit(0)))
-                .otherwise(F.array(F.lit(1)))
-            ).alias("side"),
+    def across(links: DataFrame, best: bool) -> DataFrame:
+        """Close pairs (a, b, est) of one bucket that the links so far leave apart."""
+        labels = components(links).withColumnRenamed("node", "rep")
+        found = members.join(labels, "rep", "left")
+        found = found.select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
+        groups = found.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+        largest = groups.groupBy("bucket").agg(
+            F.max(F.struct("c", "label")).getField("label").alias("main"),
+            F.sum("c").alias("m"),
+            F.count("*").alias("labels"),
         )
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
-        .mapInPandas(_blocks, "a long, b long")
-        .distinct()
-    )
-    # the sketches tell most of these apart without their texts
-    more = confirmed(estimated(pairs).union(many).distinct())
-    final = components(links.union(more))
+        rest = staged(found.join(largest.where("labels > 1").drop("labels"), "bucket"), "open")
+        outside, small = F.col("label") != F.col("main"), F.col("m") <= BLOCK // 8
+        few = (
+            rest.where(small & outside)
+            .select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
+            .join(
+                rest.where(small).select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb")),
+                "bucket",
+            )
+            .where("la <> lb")
+            .select("a", "b")
+            .distinct()
+        )
+        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+        every = F.explode(F.sequence(F.lit(0), blocks - 1))
+        big = rest.where(~small).join(short, "rep")
+        columns = ("bucket", "rep", "label", "short", "i", "j", "side")
+        many = (
+            big.where(outside).withColumns({"i": own, "side": F.lit(0)}).withColumn("j", every).select(*columns)
+            .union(big.withColumns({"j": own, "side": F.lit(1)}).withColumn("i", every).select(*columns))
+            .repartition("bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j")
+            .mapInPandas(_blocks(best), "a long, b long, est double")
+        )
+        return estimated(few).union(many)
+
+    hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    links = confirmed(most_similar(estimated(hubs.distinct())))
+    links = links.union(confirmed(most_similar(across(links, best=True))))
+    links = links.union(confirmed(across(links, best=False).select("a", "b")))
+    final = components(links)
 
     found = final.select(F.col("node").alias("rep"), "component")
     named = classes.join(found, "rep", "left").select("same", F.coalesce("component", "rep").alias("component"))
