@@ -57,15 +57,18 @@ def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
     """text -> its ids as bytes; words that were met before come from a cache.
 
     The vocabulary lower-cases and drops white space, so a text's ids are those of
-    its words one after the other.  Texts with combining marks (which join across
-    case) or with the signs of special tokens are encoded as they stand.
+    its words one after the other, and a word's those of its pieces.  Texts with
+    combining marks (which join across case) or with the signs of special tokens are
+    encoded as they stand.
     """
+    import re
+
     import regex
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    edge, whole = regex.compile(EDGE), regex.compile(r"\p{M}|<\||\|>")
+    edge, marks = re.compile(EDGE), regex.compile(r"\p{M}")
     kind = np.dtype(f"<u{width}")
     ends = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, number in tokenizer.get_vocab().items():
@@ -77,11 +80,32 @@ def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, kind).tobytes() for x in found]
 
+    def as_it_stands(text: str) -> bool:
+        if "<|" in text or "|>" in text:
+            return True
+        if text.isascii():
+            return False
+        try:
+            text.encode("latin-1")  # has no combining marks
+            return False
+        except UnicodeEncodeError:
+            return bool(marks.search(text))
+
+    def recall(pieces) -> list[bytes]:
+        """Pieces that neither generation knows; those of the older one move over."""
+        new = []
+        for w in set(pieces).difference(known):
+            if (ids := older.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        return new
+
     def learn(new: list[bytes]) -> None:
         """Words of letters have one word end each, so many are encoded as one text."""
         words = [w.decode() for w in new]
         letters = [w for w in words if w.isalpha()]
-        ids = np.array(tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, kind)
+        ids = np.frombuffer(plain([" ".join(letters)])[0], kind)
         cuts = np.flatnonzero(ends[ids]) + 1
         if len(cuts) == len(letters):
             raw, a = ids.tobytes(), 0
@@ -93,17 +117,15 @@ def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
 
     def encode(text: str) -> bytes:
         nonlocal known, older
-        if whole.search(text):
+        if as_it_stands(text):
             return plain([text])[0]
-        words = edge.sub(rb"\1 \2", text.encode().lower()).split()
-        new = []
-        for w in set(words).difference(known):
-            if (ids := older.get(w)) is None:
-                new.append(w)
-            else:
-                known[w] = ids
-        if new:
-            learn(new)
+        words = text.encode().lower().split()
+        if new := recall(words):
+            cut = {w: edge.sub(rb"\1 \2", w).split() for w in new}
+            if parts := recall(p for own in cut.values() for p in own):
+                learn(parts)
+            for w, own in cut.items():
+                known[w] = b"".join(map(known.__getitem__, own))
         out = b"".join(map(known.__getitem__, words))
         if len(known) > CACHE:
             known, older = {}, known
