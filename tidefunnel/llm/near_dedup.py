@@ -6,11 +6,11 @@
    a bucket of n gives n - 1 pairs, not n * n.  Sketches estimate each pair; every
    document is compared with its most similar hub on their full sets.
 4. Buckets whose documents are still in several components are looked at again, by
-   the documents outside a bucket's largest component: first each with its most
-   similar partner in another component, then, as few are left, with every partner
-   in another component.  Small buckets meet by a join, large ones in blocks of
-   BLOCK by BLOCK sketches inside a task; only pairs over CLOSE come out.  So no link
-   that would join two components is lost.
+   the documents outside a bucket's largest component (outsiders): first each with its
+   most similar partner in another component, then, as few are left, with every partner
+   in another component.  They meet inside a task, OUTSIDERS sketches against MEMBERS
+   sketches of the bucket at a time; only pairs over CLOSE come out.  So no link that
+   would join two components is lost.
 5. Components of the confirmed links name the classes.
 
 A pair at similarity 0.75 shares no band with a chance of 3e-8, and the estimate of
@@ -33,7 +33,8 @@ from tidefunnel.llm.components import components
 from tidefunnel.operators.tables import staged
 
 CLOSE = 0.62
-BLOCK = 256
+OUTSIDERS, MEMBERS = 256, 1024  # sketches of a block; larger buckets take several
+AT_ONCE = 4096  # pairs compared in one array
 SKETCHED = "doc_id long, n_shingles long, same binary, bands array<long>, short binary"
 SETS = "doc_id long, n long, shingle array<long>"
 
@@ -107,37 +108,44 @@ def _estimate(left: str, right: str) -> F.Column:
 
 
 def _blocks(best: bool):
-    """Close pairs of a block of outsiders with a block of all documents of their bucket."""
+    """Close pairs of a block of outsiders with a block of members of their bucket."""
+
+    def pairs(side, rep, label, short):
+        mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        step = max(1, AT_ONCE // max(1, len(other)))
+        for at in range(0, len(mine) if len(other) else 0, step):
+            some = mine[at : at + step]
+            equal = np.stack([(short[k] == short[other]).mean(axis=1) for k in some])
+            share = (equal - 1 / 256) / (1 - 1 / 256)
+            share[label[some][:, None] == label[other]] = 0
+            if best:
+                share[share < share.max(axis=1, keepdims=True)] = 0
+            x, y = np.nonzero(share >= CLOSE)
+            yield rep[some[x]], rep[other[y]], share[x, y]
 
-    def pairs(rows):
+    def run(frames):
         import pandas as pd
 
-        rows = pd.concat(rows) if len(rows) > 1 else rows[0]
-        a, b = rows[rows.side == 0], rows[rows.side == 1]
-        if not len(a) or not len(b):
-            return
-        y = np.frombuffer(b"".join(b.short), np.uint8).reshape(len(b), -1)
-        ids, labels = b.rep.to_numpy(), b.label.to_numpy()
-        for rep, label, one in zip(a.rep, a.label, a.short, strict=True):
-            share = ((np.frombuffer(one, np.uint8) == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            share[labels == label] = 0
-            hit = np.flatnonzero(share >= CLOSE)
-            if best and len(hit):
-                hit = hit[[share[hit].argmax()]]
-            if len(hit):
-                yield pd.DataFrame({"a": rep, "b": ids[hit], "est": share[hit]})
-
-    def run(frames):
-        key, parts = None, []
+        key, held = None, []
         for frame in frames:
-            for k, part in frame.groupby(["bucket", "i", "j"], sort=False):
-                if k != key and parts:
-                    yield from pairs(parts)
-                    parts = []
-                key = k
-                parts.append(part)
-        if parts:
-            yield from pairs(parts)
+            if not len(frame):
+                continue
+            keys = frame[["bucket", "i", "j"]].to_numpy()
+            short = np.frombuffer(b"".join(frame.short), np.uint8).reshape(len(frame), -1)
+            columns = [frame[c].to_numpy() for c in ("side", "rep", "label")] + [short]
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            found = []
+            for i, j in zip([0, *cuts], [*cuts, len(frame)], strict=True):
+                if held and tuple(keys[i]) != key:
+                    found += pairs(*map(np.concatenate, zip(*held, strict=True)))
+                    held = []
+                key = tuple(keys[i])
+                held.append([c[i:j] for c in columns])
+            if found:
+                yield pd.DataFrame(dict(zip(("a", "b", "est"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+        if held:
+            for a, b, est in pairs(*map(np.concatenate, zip(*held, strict=True))):
+                yield pd.DataFrame({"a": a, "b": b, "est": est})
 
     return run
 
@@ -155,16 +163,18 @@ def near_duplicates(
     plain = documents(docs, id_col, text_col)
     table = staged(plain.mapInArrow(_sketched, SKETCHED), "sketches")
     table = table.withColumn("same", F.when(F.col("doc_id").isNotNull(), F.col("same")))
-    classes = (
-        table.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("rep"))
+    one = F.min(F.struct("doc_id", "short", "bands")).alias("one")
+    classes = staged(
+        table.where("same is not null")
+        .groupBy("same")
+        .agg(one)
+        .select("same", F.col("one.doc_id").alias("rep"), "one.short", "one.bands"),
+        "classes",
     )
-    distinct = table.select("same", F.col("doc_id").alias("rep"), "bands", "short").join(
-        classes, ["same", "rep"]
-    )
-    banded = distinct.select("rep", F.explode("bands").alias("bucket")).distinct()
+    banded = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("m"))
     members = staged(banded.join(shared.where("m > 1"), "bucket"), "buckets")
-    short = distinct.select("rep", "short")
+    short = classes.select("rep", "short")
 
     # full sets of all that share a bucket; their texts move once, at any size the same way
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -206,36 +216,34 @@ def near_duplicates(
         found = found.select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
         groups = found.groupBy("bucket", "label").agg(F.count("*").alias("c"))
         largest = groups.groupBy("bucket").agg(
-            F.max(F.struct("c", "label")).getField("label").alias("main"),
+            F.max(F.struct("c", "label")).alias("main"),
             F.sum("c").alias("m"),
             F.count("*").alias("labels"),
         )
-        rest = staged(found.join(largest.where("labels > 1").drop("labels"), "bucket"), "open")
-        outside, small = F.col("label") != F.col("main"), F.col("m") <= BLOCK // 8
-        few = (
-            rest.where(small & outside)
-            .select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
-            .join(
-                rest.where(small).select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb")),
-                "bucket",
-            )
-            .where("la <> lb")
-            .select("a", "b")
-            .distinct()
+        open_buckets = largest.where("labels > 1").select(
+            "bucket",
+            F.col("main.label").alias("main"),
+            F.ceil((F.col("m") - F.col("main.c")) / OUTSIDERS).cast("int").alias("rows"),
+            F.ceil(F.col("m") / MEMBERS).cast("int").alias("columns"),
         )
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-        every = F.explode(F.sequence(F.lit(0), blocks - 1))
-        big = rest.where(~small).join(short, "rep")
-        columns = ("bucket", "rep", "label", "short", "i", "j", "side")
-        many = (
-            big.where(outside).withColumns({"i": own, "side": F.lit(0)}).withColumn("j", every).select(*columns)
-            .union(big.withColumns({"j": own, "side": F.lit(1)}).withColumn("i", every).select(*columns))
+        rest = staged(found.join(open_buckets, "bucket").join(short, "rep"), "open")
+
+        def own(blocks: str) -> F.Column:
+            return F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
+
+        def every(blocks: str) -> F.Column:
+            return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+        fields = ("bucket", "rep", "label", "short", "i", "j", "side")
+        asking = rest.where("label <> main").withColumns({"i": own("rows"), "side": F.lit(0)})
+        asked = rest.withColumns({"j": own("columns"), "side": F.lit(1)})
+        return (
+            asking.withColumn("j", every("columns")).select(*fields)
+            .union(asked.withColumn("i", every("rows")).select(*fields))
             .repartition("bucket", "i", "j")
-            .sortWithinPartitions("bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j", "side", "rep")
             .mapInPandas(_blocks(best), "a long, b long, est double")
         )
-        return estimated(few).union(many)
 
     hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     links = confirmed(most_similar(estimated(hubs.distinct())))
@@ -244,7 +252,7 @@ def near_duplicates(
     final = components(links)
 
     found = final.select(F.col("node").alias("rep"), "component")
-    named = classes.join(found, "rep", "left").select("same", F.coalesce("component", "rep").alias("component"))
+    named = classes.select("same", "rep").join(found, "rep", "left").select("same", F.coalesce("component", "rep").alias("component"))
     return (
         table.join(named, "same", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
