@@ -6,11 +6,12 @@
    a bucket of n gives n - 1 pairs, not n * n.  Sketches estimate each pair; every
    document is compared with its most similar hub on their full sets.
 4. Buckets whose documents are still in several components are looked at again, by
-   the documents outside a bucket's largest component (outsiders): first each with its
-   most similar partner in another component, then, as few are left, with every partner
-   in another component.  They meet inside a task, OUTSIDERS sketches against MEMBERS
-   sketches of the bucket at a time; only pairs over CLOSE come out.  So no link that
-   would join two components is lost.
+   the documents outside a bucket's largest component (outsiders), in blocks inside
+   a task.  First each outsider meets its most similar partner in another component.
+   Then each outsider names the components in which a sketch is still close, and is
+   compared there with the full sets of close members until one link is confirmed.
+   One link joins two components as well as many, so only that one comes out, and no
+   link that would join two components is lost.
 5. Components of the confirmed links name the classes.
 
 A pair at similarity 0.75 shares no band with a chance of 3e-8, and the estimate of
@@ -34,7 +35,7 @@ from tidefunnel.operators.tables import staged
 
 CLOSE = 0.62
 OUTSIDERS, MEMBERS = 256, 1024  # sketches of a block; larger buckets take several
-AT_ONCE = 4096  # pairs compared in one array
+ASKING, ASKED = 64, 256  # full sets of a block
 SKETCHED = "doc_id long, n_shingles long, same binary, bands array<long>, short binary"
 SETS = "doc_id long, n long, shingle array<long>"
 
@@ -107,49 +108,89 @@ def _estimate(left: str, right: str) -> F.Column:
     return estimate(left, right)
 
 
-def _blocks(best: bool):
-    """Close pairs of a block of outsiders with a block of members of their bucket."""
+def _share(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Estimated similarity of a sketch to others, without the chance hits of one byte."""
+    return ((one == others).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
 
-    def pairs(side, rep, label, short):
-        mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        step = max(1, AT_ONCE // max(1, len(other)))
-        for at in range(0, len(mine) if len(other) else 0, step):
-            some = mine[at : at + step]
-            equal = np.stack([(short[k] == short[other]).mean(axis=1) for k in some])
-            share = (equal - 1 / 256) / (1 - 1 / 256)
-            share[label[some][:, None] == label[other]] = 0
-            if best:
-                share[share < share.max(axis=1, keepdims=True)] = 0
-            x, y = np.nonzero(share >= CLOSE)
-            yield rep[some[x]], rep[other[y]], share[x, y]
+
+def _by_block(key: str, columns: tuple[str, ...], compare, names: tuple[str, ...]):
+    """``compare`` on the rows of each block (key, i, j), which may span frames."""
 
     def run(frames):
         import pandas as pd
 
-        key, held = None, []
+        block, held = None, []
+
+        def compared():
+            return compare(*map(np.concatenate, zip(*held, strict=True)))
+
+        def frame_of(found):
+            return pd.DataFrame(
+                dict(zip(names, map(np.concatenate, zip(*found, strict=True)), strict=True))
+            )
+
         for frame in frames:
             if not len(frame):
                 continue
-            keys = frame[["bucket", "i", "j"]].to_numpy()
+            keys = frame[[key, "i", "j"]].to_numpy()
             short = np.frombuffer(b"".join(frame.short), np.uint8).reshape(len(frame), -1)
-            columns = [frame[c].to_numpy() for c in ("side", "rep", "label")] + [short]
+            data = [short if c == "short" else frame[c].to_numpy() for c in columns]
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             found = []
             for i, j in zip([0, *cuts], [*cuts, len(frame)], strict=True):
-                if held and tuple(keys[i]) != key:
-                    found += pairs(*map(np.concatenate, zip(*held, strict=True)))
+                if held and tuple(keys[i]) != block:
+                    found += compared()
                     held = []
-                key = tuple(keys[i])
-                held.append([c[i:j] for c in columns])
+                block = tuple(keys[i])
+                held.append([c[i:j] for c in data])
             if found:
-                yield pd.DataFrame(dict(zip(("a", "b", "est"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
-        if held:
-            for a, b, est in pairs(*map(np.concatenate, zip(*held, strict=True))):
-                yield pd.DataFrame({"a": a, "b": b, "est": est})
+                yield frame_of(found)
+        if held and (found := list(compared())):
+            yield frame_of(found)
 
     return run
 
 
+def _nearest(side, rep, label, short):
+    """The most similar close partners of each outsider in another component."""
+    mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for k in mine if len(other) else ():
+        share = np.where(label[other] == label[k], 0, _share(short[k], short[other]))
+        if share.max() >= CLOSE:
+            y = other[share == share.max()][:1]
+            yield np.repeat(rep[k], len(y)), rep[y], np.repeat(share.max(), len(y))
+
+
+def _named(side, rep, label, short):
+    """The other components in which an outsider has a close partner."""
+    mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for k in mine if len(other) else ():
+        close = np.unique(label[other[_share(short[k], short[other]) >= CLOSE]])
+        close = close[close != label[k]]
+        if len(close):
+            yield np.repeat(rep[k], len(close)), close
+
+
+def _first_link(percent: int):
+    """One confirmed link of each asking document with the members of a component."""
+
+    def compare(side, rep, short, shingle):
+        mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for k in mine if len(other) else ():
+            share, own = _share(short[k], short[other]), shingle[k]
+            close = np.flatnonzero(share >= CLOSE)
+            for y in other[close[np.argsort(-share[close], kind="stable")]]:
+                n, m = len(own), len(shingle[y])
+                if 100 * min(n, m) < percent * max(n, m):
+                    continue
+                both = len(np.intersect1d(own, shingle[y], assume_unique=True))
+                if 100 * both >= percent * (n + m - both):
+                    yield rep[[k]], rep[[y]]
+                    break
+
+    return compare
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
 ) -> DataFrame:
@@ -209,11 +250,32 @@ def near_duplicates(
             "links",
         )
 
-    def across(links: DataFrame, best: bool) -> DataFrame:
-        """Close pairs (a, b, est) of one bucket that the links so far leave apart."""
+    def every(blocks: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    def blocks(asking: DataFrame, asked: DataFrame, key: str, columns: tuple[str, ...], compare, out: str) -> DataFrame:
+        """``compare`` for each of ``rows`` blocks of asking with ``columns`` blocks of asked."""
+        own_row = F.pmod(F.xxhash64("rep"), F.col("rows")).cast("int")
+        own_column = F.pmod(F.xxhash64("rep"), F.col("columns")).cast("int")
+        fields = (key, *columns, "i", "j")
+        one = asking.withColumns({"i": own_row, "side": F.lit(0)}).withColumn("j", every("columns"))
+        two = asked.withColumns({"j": own_column, "side": F.lit(1)}).withColumn("i", every("rows"))
+        names = tuple(part.split()[0] for part in out.split(", "))
+        return (
+            one.select(*fields)
+            .union(two.select(*fields))
+            .repartition(key, "i", "j")
+            .sortWithinPartitions(key, "i", "j", "side", "rep")
+            .mapInPandas(_by_block(key, columns, compare, names), out)
+        )
+
+    def labelled(links: DataFrame) -> DataFrame:
         labels = components(links).withColumnRenamed("node", "rep")
         found = members.join(labels, "rep", "left")
-        found = found.select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
+        return found.select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
+
+    def across(found: DataFrame, compare, out: str) -> DataFrame:
+        """Outsiders against the members of their bucket, where it has several components."""
         groups = found.groupBy("bucket", "label").agg(F.count("*").alias("c"))
         largest = groups.groupBy("bucket").agg(
             F.max(F.struct("c", "label")).alias("main"),
@@ -227,28 +289,33 @@ def near_duplicates(
             F.ceil(F.col("m") / MEMBERS).cast("int").alias("columns"),
         )
         rest = staged(found.join(open_buckets, "bucket").join(short, "rep"), "open")
-
-        def own(blocks: str) -> F.Column:
-            return F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
-
-        def every(blocks: str) -> F.Column:
-            return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-        fields = ("bucket", "rep", "label", "short", "i", "j", "side")
-        asking = rest.where("label <> main").withColumns({"i": own("rows"), "side": F.lit(0)})
-        asked = rest.withColumns({"j": own("columns"), "side": F.lit(1)})
-        return (
-            asking.withColumn("j", every("columns")).select(*fields)
-            .union(asked.withColumn("i", every("rows")).select(*fields))
-            .repartition("bucket", "i", "j")
-            .sortWithinPartitions("bucket", "i", "j", "side", "rep")
-            .mapInPandas(_blocks(best), "a long, b long, est double")
+        outsiders = rest.where("label <> main")
+        return blocks(outsiders, rest, "bucket", ("side", "rep", "label", "short"), compare, out)
+
+    def last_links(found: DataFrame) -> DataFrame:
+        """Confirmed links of outsiders with the components that they name, one of each block."""
+        asks = staged(across(found, _named, "rep long, label long").distinct(), "asks")
+        asked = found.select("rep", "label").distinct()
+        count = F.count("*")
+        sizes = asks.groupBy("label").agg(F.ceil(count / ASKING).cast("int").alias("rows")).join(
+            asked.groupBy("label").agg(F.ceil(count / ASKED).cast("int").alias("columns")), "label"
+        )
+        sets = full.select(F.col("doc_id").alias("rep"), "shingle").join(short, "rep")
+        columns = ("side", "rep", "short", "shingle")
+        return staged(
+            blocks(
+                asks.join(sizes, "label").join(sets, "rep"),
+                asked.join(sizes, "label").join(sets, "rep"),
+                "label", columns, _first_link(percent), "a long, b long",
+            ),
+            "links",
         )
 
     hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     links = confirmed(most_similar(estimated(hubs.distinct())))
-    links = links.union(confirmed(most_similar(across(links, best=True))))
-    links = links.union(confirmed(across(links, best=False).select("a", "b")))
+    nearest = across(labelled(links), _nearest, "a long, b long, est double")
+    links = links.union(confirmed(most_similar(nearest)))
+    links = links.union(last_links(staged(labelled(links), "labelled")))
     final = components(links)
 
     found = final.select(F.col("node").alias("rep"), "component")
