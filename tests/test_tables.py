@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from tidefunnel.operators.merge import append_new, keyed_merge
 from tidefunnel.operators.tables import read_table, replace_all, replace_days, staged
+from tidefunnel.plans.commerce import customer_metrics_daily, product_performance_daily
 from tidefunnel.plans.ingest import merge_customers, merge_profiles, record_replies, tag_vip_customers
+from tidefunnel.plans.rollups import refresh_calendar, refresh_days
 from tidefunnel.session import work_folder
+from tidefunnel.sources.warehouse import Warehouse
 
 D = dt.date
 
@@ -115,3 +119,28 @@ def test_replace_all_and_staged(spark):
     out = staged(df, "test")
     assert out.columns == df.columns and out.count() == 3
     assert "Range" not in out._jdf.queryExecution().toString()  # the lineage is cut
+
+
+def test_backfill_twice_is_once_and_leaves_other_days(spark):
+    wh = Warehouse.from_fixture(spark, "/root/testdata/sf0.001")
+    root = work_folder(spark, "backfill-test")
+    table = "product_performance_daily"
+    full = product_performance_daily(wh).where("date is not null")
+    days = [r["date"] for r in full.select("date").distinct().orderBy("date").limit(6).collect()]
+    odd = spark.createDataFrame([(d,) for d in days[::2]], "date date")
+    first = sorted(map(tuple, refresh_calendar(wh, table, root, odd).collect()), key=str)
+    assert first == sorted(map(tuple, full.join(odd, "date", "left_semi").select(*full.columns).collect()), key=str)
+    assert sorted(map(tuple, refresh_calendar(wh, table, root, odd).collect()), key=str) == first
+    both = refresh_days(wh, table, root, days[1], days[1])
+    assert {r["date"] for r in both.select("date").distinct().collect()} == {*days[::2], days[1]}
+
+
+def test_day_refresh_reads_the_days_only(spark):
+    wh = Warehouse.from_fixture(spark, "/root/testdata/sf0.001")
+    day = wh.as_of - dt.timedelta(days=3)
+    for build in (customer_metrics_daily, product_performance_daily):
+        whole = build(wh).where(F.col("date") == F.lit(day))
+        assert sorted(map(str, build(wh, day, day).collect())) == sorted(map(str, whole.collect()))
+        plan = build(wh, day, day)._jdf.queryExecution().optimizedPlan().toString()
+        # orders and web events are both filtered below their grouping
+        assert len(re.findall(rf"Filter .*{day}", plan)) >= 2

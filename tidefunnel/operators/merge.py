@@ -32,16 +32,19 @@ def keyed_merge(
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
+    # the last row gives updated columns only, so that wide texts move once
+    replaced = [c for c in incoming if c in update or (stamp is not None and c == stamp[0])]
     fields = F.struct(*incoming) if incoming else F.struct(F.lit(1).alias("_"))
+    latest = F.struct(*replaced) if replaced else F.struct(F.lit(1).alias("_"))
     per_key = (
         ranked.where(complete)
         .groupBy(*keys)
         .agg(
             F.min_by(fields, F.struct(*order_by)).alias("first"),
-            F.max_by(fields, F.struct(*order_by)).alias("last"),
+            F.max_by(latest, F.struct(*order_by)).alias("last"),
         )
     )
-    loose = ranked.where(~complete).select(*keys, fields.alias("first"), fields.alias("last"))
+    loose = ranked.where(~complete).select(*keys, fields.alias("first"), latest.alias("last"))
     new = per_key.unionByName(loose).withColumn("_in_batch", F.lit(True))
     # Align key names through aliases so that a full outer join keeps both sides.
     old = target.withColumn("_in_target", F.lit(True)).alias("o")

@@ -63,7 +63,7 @@ def first_timers(wh: Warehouse) -> DataFrame:
 
 def times_matched(n: str) -> Column:
     """How often a left join against ``n`` partners repeats a row (at least once)."""
-    return F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1)).cast("decimal(9,0)")
+    return F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1)).cast("decimal(18,0)")
 
 
 # --- single metrics ---------------------------------------------------------
@@ -639,7 +639,7 @@ def acquisition_metrics_daily(
     )
     # ids that are no known customer meet no events
     is_known = F.col("first_time").isNotNull()
-    weight = F.lit(1).cast("decimal(9,0)")
+    weight = F.lit(1).cast("decimal(18,0)")
     if fan_out:
         weight = F.when(is_known, times_matched("n_mail") * times_matched("n_web")).otherwise(weight)
     own = rows.select(
@@ -768,7 +768,7 @@ def traffic_source_metrics_daily(
         F.coalesce("b.n_orders", F.lit(1)).alias("n_orders"),
         F.coalesce("b.n_paid", F.lit(0)).alias("n_paid"),
         F.col("b.paid").alias("paid"),
-        (times_matched("n_mail") if fan_out else F.lit(1).cast("decimal(9,0)")).alias("w"),
+        (times_matched("n_mail") if fan_out else F.lit(1).cast("decimal(18,0)")).alias("w"),
     )
     repeats = F.col("n_orders") * F.col("w") if fan_out else F.lit(1)
     paid_times = F.col("events") * F.col("w") if fan_out else F.lit(1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidefunnel.functions.exprs import (
     CLICKED,
     OPENED,
     day,
+    in_days,
     mean,
     money,
     ratio0,
@@ -17,6 +20,8 @@ from tidefunnel.functions.exprs import (
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
 
+Date = dt.date | None
+
 
 def paid_orders(wh: Warehouse) -> DataFrame:
     return wh.table("shopify_orders").where("financial_status = 'paid'")
@@ -105,16 +110,20 @@ def campaign_performance_summary(wh: Warehouse) -> DataFrame:
     )
 
 
-def product_sales(wh: Warehouse, keys: list[str]) -> DataFrame:
-    """Units (all orders), distinct orders and paid revenue of the order lines."""
-    orders = wh.table("shopify_orders").select(
+def product_sales(wh: Warehouse, keys: list[str], start: Date = None, end: Date = None) -> DataFrame:
+    """Units (all orders), distinct orders and paid revenue of the order lines.
+
+    A range of days leaves out the lines of other days and of unknown orders.
+    """
+    orders = wh.table("shopify_orders").where(in_days("order_date", start, end)).select(
         F.col("id").alias("order_id"),
         day("order_date").alias("date"),
         (F.col("financial_status") == "paid").alias("is_paid"),
     )
     lines = wh.table("shopify_order_line_items").where("product_id is not null")
+    how = "left" if start is None and end is None else "inner"
     return (
-        lines.join(orders, "order_id", "left")
+        lines.join(orders, "order_id", how)
         .groupBy(*keys)
         .agg(
             F.sum("quantity").alias("units"),
@@ -124,11 +133,14 @@ def product_sales(wh: Warehouse, keys: list[str]) -> DataFrame:
     )
 
 
-def product_interest(wh: Warehouse, keys: list[str]) -> DataFrame:
+def product_interest(
+    wh: Warehouse, keys: list[str], start: Date = None, end: Date = None
+) -> DataFrame:
     """Product views and cart adds of the web events."""
     return (
         wh.table("shopify_events")
         .where("event_type in ('product_viewed', 'cart_added') and product_id is not null")
+        .where(in_days("occurred_at", start, end))
         .withColumn("date", day("occurred_at"))
         .groupBy(*keys)
         .agg(
@@ -159,9 +171,14 @@ def product_performance_summary(wh: Warehouse) -> DataFrame:
     )
 
 
-def customer_metrics_daily(wh: Warehouse, fan_out: bool = True) -> DataFrame:
+def customer_metrics_daily(
+    wh: Warehouse, start: Date = None, end: Date = None, fan_out: bool = True
+) -> DataFrame:
     """One row per customer and day with an order or a web event.
 
+    Each fact is read for the days in [start, end] only, but for the two counts
+    of all events that are the weights below.
+
     The established figures join orders, web events and mail events on the
     customer alone, so each day's revenue is multiplied by the customer's
     total number of web and of mail events.  ``fan_out=True`` reproduces that
@@ -170,29 +187,28 @@ def customer_metrics_daily(wh: Warehouse, fan_out: bool = True) -> DataFrame:
     orders = (
         wh.table("shopify_orders")
         .where("customer_id is not null")
+        .where(in_days("order_date", start, end))
         .groupBy("customer_id", day("order_date").alias("date"))
         .agg(
             F.count("*").alias("orders_count"),
             F.sum(F.when(F.col("financial_status") == "paid", F.col("total_price"))).alias("paid"),
         )
     )
+    all_web = wh.table("shopify_events").where("customer_id is not null")
     web = (
-        wh.table("shopify_events")
-        .where("customer_id is not null")
+        all_web.where(in_days("occurred_at", start, end))
         .groupBy("customer_id", day("occurred_at").alias("date"))
         .agg(
-            F.count("*").alias("n_web"),
             F.count_if(F.col("event_type") == "product_viewed").alias("products_viewed_count"),
             F.count_if(F.col("event_type") == "cart_added").alias("cart_adds_count"),
             F.count_if(F.col("event_type") == "checkout_started").alias("checkouts_started_count"),
         )
     )
+    all_mails = wh.table("klaviyo_events").where("customer_id is not null")
     mails = (
-        wh.table("klaviyo_events")
-        .where("customer_id is not null")
+        all_mails.where(in_days("occurred_at", start, end))
         .groupBy("customer_id", day("occurred_at").alias("date"))
         .agg(
-            F.count("*").alias("n_mail"),
             F.count_if(F.col("event_type") == OPENED).alias("emails_opened_count"),
             F.count_if(F.col("event_type") == CLICKED).alias("emails_clicked_count"),
         )
@@ -200,18 +216,18 @@ def customer_metrics_daily(wh: Warehouse, fan_out: bool = True) -> DataFrame:
     people = wh.table("customers").select(F.col("id").alias("customer_id"))
     rows = (
         orders.join(web, ["customer_id", "date"], "full_outer")
-        .join(mails.drop("n_mail"), ["customer_id", "date"], "left")
+        .join(mails, ["customer_id", "date"], "left")
         .join(people, "customer_id", "left_semi")
     )
     revenue = F.coalesce(F.col("paid"), F.lit(0))
     if fan_out:
-        web_total = web.groupBy("customer_id").agg(F.sum("n_web").alias("web_total"))
-        mail_total = mails.groupBy("customer_id").agg(F.sum("n_mail").alias("mail_total"))
+        web_total = all_web.groupBy("customer_id").agg(F.count("*").alias("web_total"))
+        mail_total = all_mails.groupBy("customer_id").agg(F.count("*").alias("mail_total"))
         rows = rows.join(web_total, "customer_id", "left").join(mail_total, "customer_id", "left")
         revenue = (
             revenue.cast("decimal(20,2)")
-            * F.coalesce("web_total", F.lit(1)).cast("decimal(9,0)")
-            * F.coalesce("mail_total", F.lit(1)).cast("decimal(9,0)")
+            * F.coalesce("web_total", F.lit(1)).cast("decimal(18,0)")
+            * F.coalesce("mail_total", F.lit(1)).cast("decimal(18,0)")
         )
     counts = [
         "orders_count",
@@ -247,12 +263,12 @@ def campaign_performance_daily(wh: Warehouse) -> DataFrame:
     )
 
 
-def product_performance_daily(wh: Warehouse) -> DataFrame:
+def product_performance_daily(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     """Views, cart adds, orders, units and paid revenue per product and day."""
     keys = ["product_id", "date"]
     return (
-        product_interest(wh, keys)
-        .join(product_sales(wh, keys), keys, "full_outer")
+        product_interest(wh, keys, start, end)
+        .join(product_sales(wh, keys, start, end), keys, "full_outer")
         .select(
             *keys,
             F.coalesce("views", F.lit(0)).alias("views_count"),

@@ -151,8 +151,11 @@ def poll_questions(wh: Warehouse, limit: int = BATCH_SIZE) -> DataFrame:
         F.col("id").alias("email_id"), "subject", "body_text"
     )
     vectors = wh.table("email_embeddings")
-    newest = new.join(vectors.select("email_id"), "email_id").orderBy(F.desc("email_id")).limit(limit)
-    return newest.join(vectors, "email_id").select(
+    known = new.select("email_id").join(vectors.select("email_id"), "email_id", "left_semi")
+    # at most ``limit`` ids; texts and vectors meet them without a shuffle
+    newest = F.broadcast(known.orderBy(F.desc("email_id")).limit(limit))
+    found = new.join(newest, "email_id", "left_semi")
+    return found.join(vectors.join(newest, "email_id", "left_semi"), "email_id").select(
         F.col("email_id").alias("question_id"), "embedding", "subject", "body_text"
     )
 
@@ -183,8 +186,9 @@ def similarity_search_ann(
 
 
 def _contexts(wh: Warehouse, questions: DataFrame, k: int) -> DataFrame:
-    """Per question: its hits as numbered text blocks, best first."""
-    hits = similarity_search(wh, questions, k)
+    """Per question of one poll: its hits as numbered text blocks, best first."""
+    # at most BATCH_SIZE * k hits; the texts of all other mails stay where they are
+    hits = F.broadcast(similarity_search(wh, questions, k))
     mails = wh.table("emails").select(F.col("id").alias("email_id"), "subject", "body_text")
     text = F.format_string(
         "[#%d sim=%.3f] subject: %s\n%s",

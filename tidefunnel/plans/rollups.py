@@ -40,7 +40,7 @@ def _on_calendar(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 def _days_of(fn: Callable[[Warehouse], DataFrame]) -> Callable[..., DataFrame]:
-    """Tables grouped by date: the filter moves below the aggregation."""
+    """Tables that are one projection: their rows of the days."""
 
     def build(wh: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
         return fn(wh).where(in_dates("date", start, end))
@@ -59,9 +59,16 @@ DAILY: dict[str, Callable[[Warehouse, dt.date, dt.date], DataFrame]] = {
     "session_engagement_daily": lambda wh, s, e: session_engagement_daily(wh, s, e),
     "retention_metrics_daily": _on_calendar(retention_metrics_daily),
     "advocacy_metrics_daily": _on_calendar(advocacy_metrics_daily),
-    "customer_metrics_daily": _days_of(customer_metrics_daily),
+    "customer_metrics_daily": lambda wh, s, e: customer_metrics_daily(wh, s, e),
     "campaign_performance_daily": _days_of(campaign_performance_daily),
-    "product_performance_daily": _days_of(product_performance_daily),
+    "product_performance_daily": lambda wh, s, e: product_performance_daily(wh, s, e),
+}
+
+# One row per day of a calendar, which may have gaps.
+ON_CALENDAR: dict[str, Callable[..., DataFrame]] = {
+    "consideration_metrics_daily": consideration_metrics_daily,
+    "retention_metrics_daily": retention_metrics_daily,
+    "advocacy_metrics_daily": advocacy_metrics_daily,
 }
 
 
@@ -79,6 +86,23 @@ def refresh_day(wh: Warehouse, table: str, root: str, day: dt.date | None = None
     return refresh_days(wh, table, root, day, day)
 
 
+def refresh_calendar(wh: Warehouse, table: str, root: str, calendar: DataFrame) -> DataFrame:
+    """Recompute the days of ``calendar`` (date) in one job; returns the whole table.
+
+    The driver lists the days, at most one per day of history.
+    """
+    days = sorted(r["date"] for r in calendar.distinct().collect())
+    if table in ON_CALENDAR:
+        rows = ON_CALENDAR[table](wh, calendar=calendar)
+    else:
+        first, last = (days[0], days[-1]) if days else (wh.as_of, wh.as_of)
+        whole = DAILY[table](wh, first, last)
+        rows = whole.join(calendar, "date", "left_semi").select(*whole.columns)
+    path = f"{root}/{table}"
+    replace_days(rows, path, days)
+    return read_table(wh.spark, path, rows)
+
+
 def rebuild_cohorts(wh: Warehouse, root: str) -> DataFrame:
     rows = customer_retention_cohorts(wh)
     path = f"{root}/customer_retention_cohorts"
@@ -103,20 +127,31 @@ def replace_all_cohorts(wh: Warehouse) -> DataFrame:
     return rebuild_cohorts(wh, root)
 
 
-def backfill_range(wh: Warehouse) -> DataFrame:
-    """The consideration rollup for every day from the first to the last event."""
-    return consideration_metrics_daily(
-        wh, calendar=source_range(wh.table("shopify_events"), "occurred_at")
-    )
+def _backfill(table: str, calendar: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """A job that writes ``table`` on the days of a calendar and reads it back."""
+
+    def run(wh: Warehouse) -> DataFrame:
+        return refresh_calendar(wh, table, work_folder(wh.spark, "backfill"), calendar(wh))
+
+    return run
+
+
+def _ad_days(wh: Warehouse) -> DataFrame:
+    return source_range(wh.table("ad_events"), "date")
+
+
+def _event_days(wh: Warehouse) -> DataFrame:
+    return source_range(wh.table("shopify_events"), "occurred_at")
+
+
+def _last_7_days(table: str) -> Callable[[Warehouse], DataFrame]:
+    """The usual repair: the seven days before ``as_of``."""
 
+    def run(wh: Warehouse) -> DataFrame:
+        first, last = wh.as_of - dt.timedelta(days=7), wh.as_of - dt.timedelta(days=1)
+        return refresh_days(wh, table, work_folder(wh.spark, "backfill"), first, last)
 
-def backfill_last_7_days(wh: Warehouse) -> DataFrame:
-    """Both acquisition tables' usual repair: the seven days before ``as_of``."""
-    root = work_folder(wh.spark, "backfill")
-    last = wh.as_of - dt.timedelta(days=1)
-    return refresh_days(
-        wh, "traffic_source_metrics_daily", root, wh.as_of - dt.timedelta(days=7), last
-    )
+    return run
 
 
 def backfill_sampled_dates(wh: Warehouse) -> DataFrame:
@@ -127,8 +162,18 @@ def backfill_session_dates(wh: Warehouse) -> DataFrame:
     return session_days(wh.table("shopify_events"), wh.as_of)
 
 
-for _fn in (
-    replace_day, replace_all_cohorts, backfill_range, backfill_last_7_days, backfill_sampled_dates,
-    backfill_session_dates,
-):
-    register(_fn.__name__, _fn)
+for _key, _fn in {
+    "replace_day": replace_day,
+    "replace_all_cohorts": replace_all_cohorts,
+    "backfill_range": _backfill("consideration_metrics_daily", _event_days),
+    "backfill_acquisition": _backfill("acquisition_metrics_daily", _ad_days),
+    "backfill_traffic": _backfill("traffic_source_metrics_daily", _ad_days),
+    "backfill_retention": _backfill("retention_metrics_daily", backfill_sampled_dates),
+    "backfill_advocacy": _backfill("advocacy_metrics_daily", backfill_sampled_dates),
+    "backfill_sessions": _backfill("session_engagement_daily", backfill_session_dates),
+    "backfill_last_7_days": _last_7_days("traffic_source_metrics_daily"),
+    "backfill_last_7_days_ads": _last_7_days("acquisition_metrics_daily"),
+    "backfill_sampled_dates": backfill_sampled_dates,
+    "backfill_session_dates": backfill_session_dates,
+}.items():
+    register(_key, _fn)
