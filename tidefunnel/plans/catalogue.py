@@ -188,10 +188,12 @@ def bestseller_rank(wh: Warehouse) -> DataFrame:
         .join(product_units_revenue_paid(wh), "product_id", "left")
         .fillna({"units_sold": 0, "revenue": 0.0})
     )
-    # ranking passes over the products several times
+    # ranking passes over the products several times; neither rank rebuilds the other
     sold = staged(sold, "products-sold")
-    return descending_rank(
-        descending_rank(sold, "units_sold", "units_rank"), "revenue", "revenue_rank"
+    units = descending_rank(sold.select("product_id", "units_sold"), "units_sold", "units_rank")
+    by_revenue = descending_rank(sold, "revenue", "revenue_rank")
+    return by_revenue.join(units.select("product_id", "units_rank"), "product_id").select(
+        *sold.columns, "units_rank", "revenue_rank"
     )
 
 

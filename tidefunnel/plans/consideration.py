@@ -272,6 +272,37 @@ def engagement_score(wh: Warehouse, start: Date = None, end: Date = None) -> Dat
 # --- daily rollups --------------------------------------------------------------
 
 
+def site_rates_daily(wh: Warehouse) -> DataFrame:
+    """Add-to-cart rate and mean session length of the days with web events.
+
+    The same figures as in the daily rollup, from one grouping by day and session.
+    """
+    per_session = (
+        web_events(wh)
+        .groupBy(day("occurred_at").alias("date"), "session_id")
+        .agg(
+            F.count_if(is_event("product_viewed")).alias("product_views"),
+            F.count_if(is_event(CART)).alias("carts"),
+            F.min("occurred_at").alias("first_at"),
+            F.max("occurred_at").alias("last_at"),
+        )
+    )
+    return (
+        per_session.where("session_id is not null")
+        .groupBy("date")
+        .agg(
+            F.count_if(F.col("product_views") > 0).alias("view_sessions"),
+            F.count_if(F.col("carts") > 0).alias("cart_sessions"),
+            F.avg(seconds()).alias("seconds"),
+        )
+        .select(
+            "date",
+            ratio("cart_sessions", "view_sessions", 4).alias("add_to_cart_rate"),
+            rounded("seconds", 0).cast("int").alias("avg_session_duration_seconds"),
+        )
+    )
+
+
 def consideration_metrics_daily(
     wh: Warehouse,
     start: Date = None,

@@ -27,7 +27,7 @@ from tidefunnel.operators.combine import stack_sum
 from tidefunnel.plans.advocacy import nps, per_customer
 from tidefunnel.plans.acquisition import revenue_over_ad_rows
 from tidefunnel.plans.commerce import buyers, paid_orders
-from tidefunnel.plans.consideration import CART, consideration_metrics_daily, is_event
+from tidefunnel.plans.consideration import CART, is_event, site_rates_daily
 from tidefunnel.plans.retention import EVER, customer_predictions, repeat_purchase_rate
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
@@ -64,7 +64,7 @@ def _average(part_sum: str, part_n: str, scale: int = 6) -> Column:
 
 def _daily_rate_per_customer(wh: Warehouse, column: str, name: str) -> DataFrame:
     """A daily site figure averaged over the customer's event rows."""
-    daily = consideration_metrics_daily(wh).select("date", F.col(column).alias("v"))
+    daily = site_rates_daily(wh).select("date", F.col(column).alias("v"))
     visits = (
         wh.table("shopify_events")
         .where("customer_id is not null")
