@@ -304,6 +304,60 @@ def test_against_sql(spark, odd, nothing, run, sql):
     assert run(nothing).count() == 0
 
 
+WRAPPED = {
+    "mit": "/* Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+    " * of this software and associated documentation files (the \"Software\"), to deal */",
+    "apache-2": "# you may not use this file except in compliance with the License.\n"
+    "# You may obtain a copy of the License at\n#\n#   http://x",
+    "bsd": "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions\nare met:",
+    "gpl": "rem This program is free software: you can redistribute it and/or modify\n"
+    "rem it under the terms of the GNU General Public License as published by",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\r\n"
+    "purpose with or without fee is hereby granted, provided",
+}
+
+
+def by_windows(text):
+    """(label, containment) of every template in every run of words around its length."""
+    words = re.findall("[a-z0-9]+", text.lower())
+    out = {}
+    for label, t in licenses.TEMPLATES:
+        own, width = set(t.split()), int(1.5 * len(t.split()))
+        best = max((len(own & set(words[i : i + width])) for i in range(len(words))), default=0)
+        if best >= 0.93 * len(own) - 1e-9:
+            out[label] = max(out.get(label, 0), best / len(own))
+    return out
+
+
+def test_notices_in_blocks_of_words(spark):
+    texts = list(WRAPPED.values())
+    texts += ["before it\n" * 40 + t + "\nbehind it" * 40 for t in texts]
+    rng = np.random.default_rng(5)
+    for _, t in licenses.TEMPLATES:
+        words = t.split()
+        texts.append(" ".join(words + ["other"] * 60))
+        # all words of the template on one line, pages apart
+        texts.append(" ".join(w + " filler" * 50 for w in words))
+        for share in (0.3, 0.5, 0.7):  # about the widest block
+            more = np.sort(rng.integers(0, len(words), int(share * len(words))))
+            texts.append("\n".join(np.insert(np.array(words, object), more, "x")))
+        texts.append(" ".join(rng.permutation(words)[1:]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in licenses.license_scan(frame).collect()}
+    assert len(got) == len(texts)
+    for i, label in enumerate([*WRAPPED, *WRAPPED]):
+        assert got[i].labels == label and got[i].score > 0.93
+    for i, text in enumerate(texts):
+        want = by_windows(text)
+        base = set(got[i].base_labels.split(",")) - {""}
+        assert set(got[i].labels.split(",")) - {""} == base | set(want), text
+        if not base:
+            assert got[i].score == pytest.approx(max(want.values(), default=0)), text
+    scattered = [got[i] for i, t in enumerate(texts) if " filler filler" in t]
+    assert len(scattered) == len(licenses.TEMPLATES) and not any(r.labels or r.score for r in scattered)
+
+
 def test_cascade_order_does_not_change_the_verdict():
     texts = [b"", b"a " * 60, b"Some plain prose. " * 2, b"X!! " * 80, b"### " * 60, b" ".join(b"w%d" % i for i in range(80))]
     alone = rules.cascade(texts, list(rules.RULES))

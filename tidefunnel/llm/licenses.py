@@ -1,26 +1,31 @@
 """License scans: an exact containment join of text blocks with notice templates.
 
-A block is a line.  A block holds a template if at least ``threshold`` of the
-template's distinct words are in it.  The join is exact and runs on DataFrames only:
+A block is a run of consecutive words of the text, wherever its lines end: for each
+template, every run of as many words as the template has, and up to ``WIDEST`` times
+as many.  A block holds a template if at least ``threshold`` of the template's
+distinct words are in it, so a block has ``need`` words at least.  The join is exact
+and runs on DataFrames only:
 
-1. One pass over the texts counts words, finds the base phrases and keeps each
-   line's words that any template has, for texts that hold enough words of some
-   template at all (a condition that no match can fail).  The result is written.
+1. One pass over the texts counts words, finds the base phrases and keeps the places
+   of words that any template has, for texts that hold enough words of some template
+   at all (a condition that no match can fail).  The result is written.
 2. The words of the templates are ordered by the number of documents that hold
    them, rarest first, over all documents.
-3. Prefix filter: a match shares a word among the first |T| - need + 1 of the
-   template and the first |B| - need + 1 of the block.  Length filter: the block has
-   ``need`` words.  Positional filter: behind the first shared word, both have
-   enough words left.  What remains is counted.
+3. Prefix filter: a match holds one of the first |T| - need + 1 words of the template.
+   At each place of such a word, the words that the widest block around it can hold
+   are handed on, and nothing else of the text.
+4. Positional filter: the template's words near enough must suffice.  What remains is
+   counted in the widest block from each of them on.
 
-The templates are a short fixed list, so its side of the joins is bounded.
+The templates are a short fixed list: the driver reads one count for each of their
+words, and the plan holds them as literals, so there is no join but the last, by id.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefunnel.llm.common import documents
@@ -61,6 +66,7 @@ TEMPLATES = (
     ("proprietary", "copyright all rights reserved no part may be reproduced without written permission"),
 )
 THRESHOLD = 0.93  # of 13 words and less, all: a number or "lesser" tells notices apart
+WIDEST = 1.5  # for marks of comments and inserted words; more would gather scattered words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,16 +85,20 @@ def _need(template: str) -> int:
     return math.ceil(THRESHOLD * len(set(template.split())) - 1e-9)
 
 
+def _width(template: str) -> int:
+    return math.floor(WIDEST * len(template.split()) + 1e-9)
+
+
 def _measured(plain: DataFrame) -> DataFrame:
-    """One row for each document: word and phrase counts, template words, lines if possible."""
-    vocabulary = F.array(*(F.lit(w) for w in sorted({w for _, t in TEMPLATES for w in t.split()})))
-    line = spaced(F.col("text"))
-    found = plain.select("doc_id", "text", F.xxhash64("text").alias("content"), line.alias("words"))
+    """One row for each document: word and phrase counts, template words, their places if possible."""
+    own_words = sorted({w for _, t in TEMPLATES for w in t.split()})
+    vocabulary = F.array(*(F.lit(w) for w in own_words))
+    found = plain.select("doc_id", F.xxhash64("text").alias("content"), spaced(F.col("text")).alias("words"))
     words = F.col("words")
-    places, firsts, lasts, labels = [], [], [], []
+    counts, firsts, lasts, labels = [], [], [], []
     for phrase, label in BASE.items():
         here = words.contains(f" {phrase} ")
-        places.append(F.when(here, F.regexp_count(words, F.lit(f" {phrase}(?= )"))).otherwise(0))
+        counts.append(F.when(here, F.regexp_count(words, F.lit(f" {phrase}(?= )"))).otherwise(0))
         before = F.substring_index(words, f" {phrase} ", 1)
         behind = F.substring_index(words, f" {phrase} ", -1)
         firsts.append(F.when(here, _spaces(before)))
@@ -101,9 +111,9 @@ def _measured(plain: DataFrame) -> DataFrame:
     for _, template in TEMPLATES:
         own = F.array(*(F.lit(w) for w in dict.fromkeys(template.split())))
         enough = enough | (F.size(F.array_intersect(F.col("hits"), own)) >= _need(template))
-    blocks = F.transform(
-        F.split("text", "\n"),
-        lambda x: F.array_intersect(F.split(spaced(x), " "), vocabulary),
+    places = F.transform(
+        F.split(words, " "),
+        lambda x, i: F.when(x.isin(own_words), F.struct(i.alias("at"), x.alias("word"))),
     )
     return (
         found.withColumn("hits", hits)
@@ -111,69 +121,79 @@ def _measured(plain: DataFrame) -> DataFrame:
             "doc_id",
             "content",
             F.greatest(_spaces(words) - 1, F.lit(0)).alias("n_words"),
-            sum(places[1:], places[0]).cast("long").alias("n_base"),
+            sum(counts[1:], counts[0]).cast("long").alias("n_base"),
             F.least(*firsts).alias("first_word"),
             F.greatest(*lasts).alias("last_word"),
             F.array_compact(F.array(*labels)).alias("base"),
             "hits",
-            F.when(enough, F.filter(blocks, lambda b: F.size(b) > 1)).alias("blocks"),
+            F.when(enough, F.array_compact(places)).alias("places"),
         )
     )
 
 
-def _templates(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(template words with their place in the global order, that order).
+def _prefixes(table: DataFrame) -> dict[str, list[int]]:
+    """The templates that each word is among the first of, in the global order.
 
     Words that no document holds come first: they are the rarest.
     """
-    spark = table.sparkSession
-    rows = [
-        (i, label, _need(t), len(set(t.split())), w)
-        for i, (label, t) in enumerate(TEMPLATES)
-        for w in dict.fromkeys(t.split())
-    ]
-    words = spark.createDataFrame(rows, "template int, label string, need int, size int, word string")
-    counts = table.select(F.explode("hits").alias("word")).groupBy("word").count()
-    order = (
-        words.select("word").distinct().join(counts, "word", "left")
-        .select("word", F.struct(F.coalesce("count", F.lit(0)).alias("n"), "word").alias("rank"))
-    )
-    place = F.row_number().over(Window.partitionBy("template").orderBy("rank")) - 1
-    return words.join(order, "word").withColumn("i", place), order
+    seen = table.select(F.explode("hits").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = {r.word: r.n for r in seen.collect()}  # at most the template words
+    out: dict[str, list[int]] = {}
+    for no, (_, template) in enumerate(TEMPLATES):
+        ranked = sorted(set(template.split()), key=lambda w: (counts.get(w, 0), w))
+        for word in ranked[: len(ranked) - _need(template) + 1]:
+            out.setdefault(word, []).append(no)
+    return out
+
+
+def _of_template(values: list) -> Column:
+    """The value of the row's template."""
+    return F.element_at(F.array(*map(F.lit, values)), F.col("no") + 1)
 
 
 def template_matches(table: DataFrame) -> DataFrame:
-    """(doc_id, content, label, containment) of each block and the templates it holds."""
-    templates, order = _templates(table)
-    templates = staged(templates, "templates")
-    blocks = (
-        table.where(F.size("blocks") > 0)
-        .select("doc_id", "content", F.explode(F.array_distinct("blocks")).alias("block"))
-    )
-    placed = (
-        blocks.select("doc_id", "content", "block", F.explode("block").alias("word"))
-        .join(order, "word")
-        .groupBy("doc_id", "content", "block")
-        .agg(F.array_sort(F.collect_set("rank")).alias("ranked"))  # at most the template words
+    """(doc_id, content, label, containment) of templates and the blocks around a prefix word."""
+    prefixes = _prefixes(table)
+    texts = [t for _, t in TEMPLATES]
+    reach = max(map(_width, texts)) - 1
+    places = F.col("places")
+
+    def around(p: Column, j: Column) -> Column:
+        first = F.greatest(j + 1 - reach, F.lit(1))
+        near = F.slice(places, first, j + 2 + reach - first)
+        return F.when(p["word"].isin(list(prefixes)), F.struct(p["at"].alias("at"), p["word"].alias("word"), near.alias("near")))
+
+    probes = (
+        table.where(F.size("places") > 0)
+        .select("doc_id", "content", F.explode(F.array_compact(F.transform(places, around))).alias("p"))
+        .select("doc_id", "content", "p.at", "p.word", "p.near")
     )
-    probes = placed.select("doc_id", "content", "ranked", F.posexplode("ranked").alias("j", "at")).select(
-        "doc_id", "content", "ranked", "j", F.col("at.word").alias("word")
+    of_word = F.create_map(*(x for w, nos in prefixes.items() for x in (F.lit(w), F.array(*map(F.lit, nos)))))
+    near = F.filter(
+        "near",
+        lambda x: (F.abs(x["at"] - F.col("at")) < F.col("width")) & F.array_contains(F.col("own"), x["word"]),
     )
-    prefix = templates.where("i <= size - need").select("template", "label", "need", "size", "word", "i")
     pairs = (
-        probes.join(prefix, "word")
-        .where((F.size("ranked") >= F.col("need")) & (F.col("j") <= F.size("ranked") - F.col("need")))
-        .groupBy("doc_id", "content", "ranked", "template", "label", "need", "size")
-        .agg(F.min("i").alias("i"), F.min("j").alias("j"))
-        .where(F.least(F.col("size") - F.col("i"), F.size("ranked") - F.col("j")) >= F.col("need"))
+        probes.withColumn("no", F.explode(F.element_at(of_word, F.col("word"))))
+        .withColumns({
+            "label": _of_template([label for label, _ in TEMPLATES]),
+            "own": _of_template([list(dict.fromkeys(t.split())) for t in texts]),
+            "need": _of_template(list(map(_need, texts))),
+            "width": _of_template(list(map(_width, texts))),
+        })
+        .withColumn("near", near)
+        .where(F.size(F.array_distinct("near.word")) >= F.col("need"))
     )
-    whole = templates.groupBy("template").agg(F.collect_set("word").alias("all"))
-    shared = F.size(F.array_intersect(F.transform("ranked", lambda r: r["word"]), F.col("all")))
+
+    def held(a: Column) -> Column:
+        """Distinct words of the template in the widest block from ``a`` on."""
+        block = F.filter("near", lambda b: (b["at"] >= a["at"]) & (b["at"] < a["at"] + F.col("width")))
+        return F.size(F.array_distinct(F.transform(block, lambda b: b["word"])))
+
     return (
-        pairs.join(whole, "template")
-        .withColumn("shared", shared)
+        pairs.withColumn("shared", F.array_max(F.transform("near", held)))
         .where("shared >= need")
-        .select("doc_id", "content", "label", (F.col("shared") / F.col("size")).alias("containment"))
+        .select("doc_id", "content", "label", (F.col("shared") / F.size("own")).alias("containment"))
     )
 
 
@@ -181,7 +201,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Base phrases and template matches of each row of ``docs``.
 
     NULL and empty texts have no words, labels "" and score 0.  ``score`` is 1 where
-    a base phrase stands, else the best containment of a line, else 0.  Rows of the
+    a base phrase stands, else the best containment of a block, else 0.  Rows of the
     same id and text share their result; a NULL id is matched as any other.
     """
     table = staged(_measured(documents(docs, id_col, text_col)), "license-words")
@@ -191,7 +211,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
         .withColumnsRenamed({"doc_id": "id", "content": "of"})
     )
-    joined = table.drop("hits", "blocks").join(
+    joined = table.drop("hits", "places").join(
         matches, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("of")), "left"
     )
     base = F.array_sort(F.array_distinct("base"))
