@@ -85,6 +85,23 @@ def test_disguised_data(text):
     assert PRIVATE[text] not in pii.redact(text, every)
 
 
+BEHIND_PROSE = {
+    "Contact me at john.smith (at) example (dot) com today": "john.smith (at) example (dot) com",
+    "mail at jane.doe at example dot com": "jane.doe at example dot com",
+    "us at john.smith [at] example.com": "john.smith [at] example.com",
+    "me at john dot smith at example dot com": "john dot smith at example dot com",
+    "we at acme.org say at once at jo.do @ x.org": "jo.do @ x.org",
+    "was at a.b at c.d at e.f (at) g.org": "e.f (at) g.org",
+}
+
+
+@pytest.mark.parametrize("text", BEHIND_PROSE)
+def test_addresses_behind_prose(text):
+    base, every = pii.find(text)
+    assert base == [] and [text[a:b] for _, a, b in every] == [BEHIND_PROSE[text]]
+    assert pii.redact(text, every) == text.replace(BEHIND_PROSE[text], "[EMAIL]")
+
+
 @pytest.mark.parametrize("text", ["the cat sat at home. dot one two", "user at mail.example.com", "one day at 3.5"])
 def test_prose_is_not_private(text):
     assert pii.find(text) == ([], [])

@@ -7,7 +7,8 @@ character they put out, where in the source it began and ended:
 1. characters: look-alike letters and digits become ASCII, invisible ones vanish;
 2. words: spelled digits between word edges become digits, and the spaces or
    hyphens between single digits go ("five five-five" -> "555");
-3. signs: " at ", "(at)", "[dot]" and their kin become "@" and ".".
+3. signs: " at ", "(at)", "[dot]" and their kin become "@" and "."; where the name
+   before a plain " at " is prose, the search goes on behind that sign.
 
 The patterns run on the rewritten text too; a match that a rewriting touched is
 mapped back to source characters and added unless it overlaps a base match.  Base
@@ -89,6 +90,7 @@ def _compiled() -> dict[str, re.Pattern]:
         ),
         "dots": re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:\.|{dot})[0-9]{{1,3}}){{3}}(?![0-9])", re.I),
         "sign": re.compile(rf"({at}|\s*@\s*)|({dot})", re.I),
+        "at": re.compile(rf"(?P<plain>\s+at\s+)|{at}|\s*@\s*", re.I),
         "bracket": re.compile(r"[\[({<]\s*at\s*[\])}>]", re.I),
         "apart": re.compile(r"@\s|\s@"),
         "dotted": re.compile(r"[\[({<\s](?:dot|point)[\])}>\s]|[\[({<]\s*at\s*[\])}>]", re.I),
@@ -188,17 +190,35 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of disguised addresses.
+
+    Plain words around "at" alone are prose; an address has a written dot or bracket.
+    What stands behind the "at" of prose, or between two signs, may be the name of an
+    address ("me at jo.do (at) x.org"), so the search goes on behind the sign.
+    """
+    p, at = _compiled(), 0
+    while run := p["address"].search(text, at):
+        sign = p["at"].search(text, *run.span())
+        named = sign["plain"] and p["address"].match(text, sign.end())
+        if named and _disguised(named[0]) or not _disguised(run[0]):
+            at = sign.end()
+        else:
+            yield run.span()
+            at = run.end()
+
+
+def _disguised(run: str) -> bool:
+    return "@" in run or bool(_compiled()["dotted"].search(run))
+
+
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
     p, out = _compiled(), []
-    for which in ("address", "dots"):
-        for run in p[which].finditer(text):
-            # plain words around "at" alone are prose; an address has a written dot or bracket
-            if which == "address" and "@" not in run[0] and not p["dotted"].search(run[0]):
-                continue
-            for m in p["sign"].finditer(text, *run.span()):
-                new = "@" if m[1] else "."
-                if m[0] != new:
-                    out.append((*m.span(), new))
+    for span in (*_addresses(text), *(run.span() for run in p["dots"].finditer(text))):
+        for m in p["sign"].finditer(text, *span):
+            new = "@" if m[1] else "."
+            if m[0] != new:
+                out.append((*m.span(), new))
     return sorted(set(out))
 
 
