@@ -95,6 +95,26 @@ BEHIND_PROSE = {
 }
 
 
+HARDLY_DISGUISED = {
+    "mail jane.doe at example.com.": ("email", "jane.doe at example.com"),
+    "me at jane_doe at mail.example.org, or": ("email", "jane_doe at mail.example.org"),
+    "call +44 7700 nine 00123 now": ("phone", "+44 7700 nine 00123"),
+    "card 4539 1488 0343 646 seven x": ("card", "4539 1488 0343 646 seven"),
+    "page one ４５３９１４８８０３４３６４６７": ("card", "４５３９１４８８０３４３６４６７"),
+}
+
+
+@pytest.mark.parametrize("text", HARDLY_DISGUISED)
+def test_one_sign_of_a_disguise(text):
+    base, every = pii.find(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in every] == [HARDLY_DISGUISED[text]]
+
+
+@pytest.mark.parametrize("text", ["me at john.smith", "seen jane.doe at home.Then", "well-known at example.com", "one 3"])
+def test_signs_of_prose(text):
+    assert pii.find(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", BEHIND_PROSE)
 def test_addresses_behind_prose(text):
     base, every = pii.find(text)

@@ -6,7 +6,8 @@ character they put out, where in the source it began and ended:
 
 1. characters: look-alike letters and digits become ASCII, invisible ones vanish;
 2. words: spelled digits between word edges become digits, and the spaces or
-   hyphens between single digits go ("five five-five" -> "555");
+   hyphens between single digits go ("five five-five" -> "555"), where two are
+   spelled; and, in a second try, where one is;
 3. signs: " at ", "(at)", "[dot]" and their kin become "@" and "."; where the name
    before a plain " at " is prose, the search goes on behind that sign.
 
@@ -50,6 +51,10 @@ LOOK_ALIKES = {
     "\u00a0": " ", "\u2007": " ", "\u2009": " ", "\u202f": " ",
 }
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+ENDINGS = (  # of domains, without those that are words of prose ("at", "in", "it", "me")
+    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "co", "dev", "app", "ai", "uk", "de",
+    "fr", "es", "nl", "ch", "eu", "ca", "au", "nz", "jp", "cn", "br", "ru", "pl", "se", "dk", "fi", "ie", "pt", "cz", "gr",
+)
 DIGITS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -93,6 +98,11 @@ def _compiled() -> dict[str, re.Pattern]:
         "at": re.compile(rf"(?P<plain>\s+at\s+)|{at}|\s*@\s*", re.I),
         "bracket": re.compile(r"[\[({<]\s*at\s*[\])}>]", re.I),
         "apart": re.compile(r"@\s|\s@"),
+        # a name as only addresses have it, and a domain, around a plain "at"
+        "plain": re.compile(
+            rf"[a-z][a-z0-9]*(?:[._+][a-z0-9]+)+\s+at\s+(?:[a-z0-9-]+\.)+(?:{'|'.join(ENDINGS)})", re.I
+        ),
+        "plain sign": re.compile(r"[._+][a-z0-9]+\s+at\s+[a-z0-9-]+\.[a-z]", re.I),
         "dotted": re.compile(r"[\[({<\s](?:dot|point)[\])}>\s]|[\[({<]\s*at\s*[\])}>]", re.I),
     }
 
@@ -176,11 +186,11 @@ class Rewritten:
         return self.start[a], self.end[b - 1]
 
 
-def _digit_edits(text: str) -> list[tuple[int, int, str]]:
-    """Runs of digits that are partly spelled out: digits for words, nothing between them."""
+def _digit_edits(text: str, least: int) -> list[tuple[int, int, str]]:
+    """Runs of digits, ``least`` of them spelled out: digits for words, nothing between them."""
     p, out = _compiled(), []
     for run in p["digits"].finditer(text):
-        if len(p["spelled"].findall(run[0])) < 2:
+        if len(p["spelled"].findall(run[0])) < least:
             continue
         for m in p["digit"].finditer(text, *run.span()):
             if m[1]:
@@ -193,7 +203,8 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
 def _addresses(text: str) -> Iterator[tuple[int, int]]:
     """Spans of disguised addresses.
 
-    Plain words around "at" alone are prose; an address has a written dot or bracket.
+    Plain words around "at" alone are prose; an address has a written dot or bracket,
+    or else a name of several parts and a domain ("jo.do at x.org").
     What stands behind the "at" of prose, or between two signs, may be the name of an
     address ("me at jo.do (at) x.org"), so the search goes on behind the sign.
     """
@@ -209,7 +220,8 @@ def _addresses(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _disguised(run: str) -> bool:
-    return "@" in run or bool(_compiled()["dotted"].search(run))
+    p = _compiled()
+    return "@" in run or bool(p["dotted"].search(run) or p["plain"].fullmatch(run))
 
 
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
@@ -238,31 +250,56 @@ def _suspects(text: str) -> tuple[bool, bool, bool]:
         except UnicodeEncodeError:
             odd = bool(p["odd"].search(text))
     words = text.encode().translate(LETTERS).split()
-    signs = not SIGNS.isdisjoint(words) or bool(p["bracket"].search(text)) or bool(p["apart"].search(text))
+    signs = (
+        not SIGNS.isdisjoint(words)
+        or bool(p["bracket"].search(text))
+        or bool(p["apart"].search(text))
+        or b"at" in words and bool(p["plain sign"].search(text))
+    )
     return odd, not SPELLED.isdisjoint(words), signs
 
 
-def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Matches that only show after rewriting, as source spans that no base match overlaps."""
+def _rewritings(text: str) -> Iterator[Rewritten]:
+    """The text with all disguises undone; and again with single spelled digits undone too.
+
+    One spelled digit beside others may be a digit or a word of prose ("one 4539..."),
+    so both are tried.
+    """
     odd, spelled, signs = _suspects(text)
     if not (odd or spelled or signs):
-        return []
-    new, table = Rewritten(text), characters()
-    if odd:
-        new.replace([(*m.span(), table[m[0]]) for m in _compiled()["odd"].finditer(text)])
-        _, spelled, signs = _suspects(new.text)
-    if spelled:
-        new.replace(_digit_edits(new.text))
-    if signs:
-        new.replace(_sign_edits(new.text))
-    if new.start is None:
-        return []
+        return
+    table, before = characters(), None
+    for least in (2, 1):
+        new = Rewritten(text)
+        if odd:
+            new.replace([(*m.span(), table[m[0]]) for m in _compiled()["odd"].finditer(text)])
+            _, spelled, signs = _suspects(new.text)
+        edits = _digit_edits(new.text, least) if spelled else []
+        if edits == before:
+            return
+        before = edits
+        new.replace(edits)
+        if signs:
+            new.replace(_sign_edits(new.text))
+        if new.start is not None:
+            yield new
+        if not spelled:
+            return
+
+
+def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Matches that only show after rewriting, as source spans that no base match overlaps.
+
+    Those of the second rewriting are added where the first found nothing.
+    """
     out = []
-    for kind, a, b in base_spans(new.text):
-        if any(new.touched[a:b]) or (new.end[b - 1] - new.start[a] != b - a):
-            x, y = new.source(a, b)
-            if not any(x < e and s < y for _, s, e in base):
-                out.append((kind, x, y))
+    for new in _rewritings(text):
+        known = [*base, *out]
+        for kind, a, b in base_spans(new.text):
+            if any(new.touched[a:b]) or (new.end[b - 1] - new.start[a] != b - a):
+                x, y = new.source(a, b)
+                if not any(x < e and s < y for _, s, e in known):
+                    out.append((kind, x, y))
     return out
 
 
