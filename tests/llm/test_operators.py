@@ -175,6 +175,38 @@ def test_unmarked_boilerplate_goes_by_host(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_runs_decide_beside_an_article(spark):
+    wall = "<div>Subscribe to our letter for more of the same every single day</div>"
+    page = (
+        "<body>{}<div><p>first part {} of the story, number {} of its kind</p></div><article><h2>teaser {}</h2></article>"
+        "<div>second part {} of it, with words {} of its own</div><div class='ad'>buy {}</div>{}</body>"
+    )
+    rows = [(i, f"http://h.org/{i}", page.format(wall, i, i * 7, i, i, i * 9, i, wall)) for i in range(5)]
+    inside = "<article><p>own {}</p><section class='notice'><p>{}</p></section></article>"
+    terms = "All terms that apply to every page of this host are found elsewhere"
+    rows += [(10 + i, f"http://k.org/{i}", inside.format(i, terms)) for i in range(4)]
+    rows += [(20, "http://k.org/u", inside.format(20, "Notice that only this article has, in a section of its own"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    for i in range(5):
+        first = f"first part {i} of the story, number {i * 7} of its kind"
+        assert got[i] == f"{first}\nteaser {i}\nsecond part {i} of it, with words {i * 9} of its own"
+    assert [got[10 + i] for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert got[20] == "own 20\nNotice that only this article has, in a section of its own"
+
+
+def test_names_are_evidence():
+    page = (
+        '<article><h2 class="notice">A notice</h2><section id="related-work"><p>doubt</p></section>'
+        '<section id="comments">said</section><div class="share">share</div><h3 hidden>no</h3>end</article>'
+    )
+    kinds = [("article", "A notice"), ("open", "doubt"), ("named", "said"), ("named", "share"), ("chrome", "no")]
+    assert html_text.blocks(page) == [*kinds, ("article", "end")]
+    form = html_text.blocks('<form id="all"><nav>menu</nav><div>body of the page</div></form>')
+    assert html_text.unique_blocks(*map(list, zip(*form, strict=True)), []) == ["body of the page"]
+    assert html_text.blocks("<form><main>text</main>x</form>") == [("article", "text"), ("named", "x")]
+
+
 def test_suffix_runs():
     streams = [list("abcdefgh"), list("xxabcdefyy"), list("ab"), []]
     page, place, rank = html_text.suffix_runs(streams, 6)
