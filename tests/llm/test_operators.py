@@ -255,6 +255,21 @@ def test_near_duplicates(spark, odd, nothing):
     assert stay.columns == odd.columns and {r.doc_id for r in stay.collect()} == {1, 4, 5, 6, 7, 9, None, 11, 12}
 
 
+def test_texts_that_share_an_id(spark):
+    """Each text of an id links it, in any order of the rows, and the id joins its texts."""
+
+    def near(name, own=0):
+        return " ".join([f"{name}{i}" for i in range(100)] + [f"{name}own{own}"])
+
+    rows = [(2, near("a")), (2, near("b")), (2, near("c")), (3, near("a", 1)), (4, near("b", 1)), (5, near("c", 1))]
+    rows += [(6, near("d")), (7, near("d")), (7, near("e")), (8, near("e", 1)), (9, near("f")), (10, near("g"))]
+    want = {2: 2, 3: 2, 4: 2, 5: 2, 6: 6, 7: 6, 8: 6, 9: 9, 10: 10}
+    for table in (rows, rows[::-1]):
+        frame = spark.createDataFrame(table, "doc_id long, text string").coalesce(1)
+        got = near_dedup.near_duplicates(frame).collect()
+        assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == set(want.items())
+
+
 def test_chains_and_large_groups(spark):
     """A chain links its ends; a group larger than a block of sketches stays whole."""
     text = [f"w{i}" for i in range(120)]

@@ -37,7 +37,7 @@ CLOSE = 0.62
 OUTSIDERS, MEMBERS = 256, 1024  # sketches of a block; larger buckets take several
 ASKING, ASKED = 64, 256  # full sets of a block
 SKETCHED = "doc_id long, n_shingles long, same binary, bands array<long>, short binary"
-SETS = "doc_id long, n long, shingle array<long>"
+SETS = "doc_id long, n long, same binary, shingle array<long>"
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -52,9 +52,14 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
         ]
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _name(found: np.ndarray) -> bytes:
+    """A name of a set, the same in every task."""
     import hashlib
 
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, sets in _sets(batch):
             begins = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
@@ -62,7 +67,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             band, short = fast.bands(table).view(np.int64), fast.short_form(table)
             rows = zip(sets, band, short, strict=True)
             columns = [
-                (hashlib.blake2b(s.tobytes(), digest_size=16).digest(), b, x.tobytes())
+                (_name(s), b, x.tobytes())
                 if len(s)
                 else (None, None, None)
                 for s, b, x in rows
@@ -86,9 +91,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     ids,
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_name(s) for s in sets], pa.binary()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "shingle"],
+                names=["doc_id", "n", "same", "shingle"],
             )
 
 
@@ -198,7 +204,7 @@ def near_duplicates(
 
     Texts that are NULL or have no word are linked with nothing and stay.  Texts
     with fewer than five words are one shingle.  Rows that repeat an id get one
-    row each; equal ids are one node.  A NULL id is a node of its own class and is
+    row each; equal ids are one node, which each of its texts links.  A NULL id is a node of its own class and is
     linked with nothing.
     """
     plain = documents(docs, id_col, text_col)
@@ -215,12 +221,18 @@ def near_duplicates(
     banded = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("m"))
     members = staged(banded.join(shared.where("m > 1"), "bucket"), "buckets")
-    short = classes.select("rep", "short")
+    short = classes.select("rep", "same", "short")  # several rows for an id with several texts
+
+    # ids with several texts are in several classes, which they join
+    several = table.where("doc_id is not null and same is not null").groupBy("doc_id")
+    several = several.agg(F.min("same").alias("one"), F.max("same").alias("other")).where("one <> other")
+    own = table.join(several.select("doc_id"), "doc_id", "left_semi").join(classes.select("same", "rep"), "same")
+    by_id = staged(own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "links")
 
     # full sets of all that share a bucket; their texts move once, at any size the same way
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = plain.hint("merge").join(ids, "doc_id", "left_semi")
-    full = staged(texts.mapInArrow(_full_sets, SETS).dropDuplicates(["doc_id"]), "sets")
+    full = staged(texts.mapInArrow(_full_sets, SETS).dropDuplicates(["doc_id", "same"]), "sets")
 
     def estimated(pairs: DataFrame) -> DataFrame:
         a = short.select(F.col("rep").alias("a"), F.col("short").alias("x"))
@@ -246,7 +258,8 @@ def near_duplicates(
             .where(F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb"))
             .withColumn("both", both)
             .where(F.col("both") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("both")))
-            .select("a", "b"),
+            .select("a", "b")
+            .distinct(),
             "links",
         )
 
@@ -300,7 +313,7 @@ def near_duplicates(
         sizes = asks.groupBy("label").agg(F.ceil(count / ASKING).cast("int").alias("rows")).join(
             asked.groupBy("label").agg(F.ceil(count / ASKED).cast("int").alias("columns")), "label"
         )
-        sets = full.select(F.col("doc_id").alias("rep"), "shingle").join(short, "rep")
+        sets = full.select(F.col("doc_id").alias("rep"), "same", "shingle").join(short, ["rep", "same"])
         columns = ("side", "rep", "short", "shingle")
         return staged(
             blocks(
@@ -312,7 +325,7 @@ def near_duplicates(
         )
 
     hubs = members.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    links = confirmed(most_similar(estimated(hubs.distinct())))
+    links = by_id.union(confirmed(most_similar(estimated(hubs.distinct()))))
     nearest = across(labelled(links), _nearest, "a long, b long, est double")
     links = links.union(confirmed(most_similar(nearest)))
     links = links.union(last_links(staged(labelled(links), "labelled")))
