@@ -458,3 +458,20 @@ def test_targets_are_met(spark):
         want = {r[0]: r.share for r in mixing.default_targets(cells, d).collect()}
         for value, share in want.items():
             assert sum(r.weight for r in raked if r[d] == value) == pytest.approx(share * total, rel=1e-3)
+
+
+def test_missed_targets_are_reported(spark):
+    """At the registered budget a small topic is asked for more than it has."""
+    rows = [("x", "en", "p", 9000), ("y", "en", "p", 8000), ("x", "en", "q", 100), ("y", "en", "q", 100)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, n_tokens long")
+    lang = spark.createDataFrame([("en", 0.9), ("de", 0.1)], "lang string, share double")
+    raked = mixing.rake(cells, {"lang": lang})
+    got = {(r.dimension, r.value): r for r in mixing.reached(cells, raked, {"lang": lang}).collect()}
+    q = got["topic", "q"]
+    share = 200**0.7 / (200**0.7 + 17000**0.7)
+    assert q.goal == pytest.approx(share * 0.7 * 17200) and q.goal > q.n_tokens == 200
+    assert q.weight == pytest.approx(200)
+    assert (got["lang", "de"].n_tokens, got["lang", "de"].weight) == (0, 0) and got["lang", "de"].goal == pytest.approx(1204)
+    for d in mixing.DIMENSIONS:
+        weights = sum(r.weight for r in got.values() if r.dimension == d)
+        assert weights == pytest.approx(sum(r.weight for r in raked.collect()))

@@ -107,6 +107,28 @@ def rake(
     return state
 
 
+def reached(cells: DataFrame, raked: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
+    """dimension, value, n_tokens, goal, weight: what each target asks for and what ``raked`` gives it.
+
+    A goal over ``n_tokens``, or one that only cells without tokens to spare could
+    fill, is missed.  ``targets`` and ``budget`` are those that ``raked`` was made with.
+    """
+    given, found = targets or {}, []
+    total = cells.agg((F.sum("n_tokens") * F.lit(budget)).alias("wanted"))
+    for d in DIMENSIONS:
+        goals = given.get(d, default_targets(cells, d)).select(d, "share").join(F.broadcast(total))  # one row
+        sums = raked.groupBy(d).agg(F.sum("n_tokens").alias("n_tokens"), F.sum("weight").alias("weight"))
+        found.append(
+            sums.join(goals, d, "full").select(
+                F.lit(d).alias("dimension"), F.col(d).alias("value"),
+                F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
+                F.coalesce(F.col("share") * F.col("wanted"), F.lit(0.0)).alias("goal"),
+                F.coalesce("weight", F.lit(0.0)).alias("weight"),
+            )
+        )
+    return found[0].union(found[1]).union(found[2])
+
+
 def mixed(
     docs: DataFrame,
     targets: dict[str, DataFrame] | None = None,
