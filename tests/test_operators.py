@@ -16,7 +16,7 @@ from tidefunnel.operators.calendar import (
     source_range,
 )
 from tidefunnel.operators.combine import left_join_spread, stack_sum
-from tidefunnel.operators.ordered import descending_rank, floor_to, running
+from tidefunnel.operators.ordered import descending_rank, floor_to, running, total_order_sum
 from tidefunnel.operators.quantile import exact_median
 from tidefunnel.plans.catalogue import whole_months
 
@@ -54,7 +54,7 @@ def test_descending_rank_equals_sql_rank(spark):
     r = random.Random(6)
     values = [r.choice([0, 0, 0, 5, r.randrange(1000)]) for _ in range(500)]
     df = spark.createDataFrame(list(enumerate(values)), "id long, v long")
-    for row in descending_rank(df, "v", "rank", buckets=7).collect():
+    for row in descending_rank(df, "v", "rank").collect():
         assert row["rank"] == 1 + sum(v > row.v for v in values)
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidefunnel.operators.tables import staged
+
 HOUR = 3_600_000_000  # microseconds
 
 
@@ -67,23 +69,33 @@ def running(
     return joined.withColumns(merged).drop(*[f"carry_{c}" for c in folds])
 
 
-def descending_rank(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFrame:
+def total_order_sum(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
+    """``df`` with the running sum of ``amount`` along one order of the whole table.
+
+    Rows are dealt by ranges of the order, so tasks follow the session's number
+    of partitions and not the table.  The dealt rows are written once: the bounds
+    of the ranges are drawn from a sample and must not change between the two
+    readers.  Sums of whole ranges, one row each, carry over.  Rows that are equal
+    in ``order`` lie in one range and are summed in an arbitrary order.
+    """
+    dealt = df.repartitionByRange(*order).withColumns({"_part": F.spark_partition_id(), "_amount": amount})
+    dealt = staged(dealt, "ranges")
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = dealt.groupBy("_part").agg(F.sum("_amount").alias("_all"))
+    carried = carried.select("_part", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_carry"))
+    # one row for each partition of the session
+    placed = dealt.withColumn("_upto", F.sum("_amount").over(inside)).join(F.broadcast(carried), "_part")
+    return placed.select(*df.columns, (F.col("_upto") + F.col("_carry")).alias(name))
+
+
+def descending_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """SQL RANK by a non-null ``value``, highest first, without a one-task window.
 
-    Equal values are counted together first.  The distinct values are cut into
-    buckets by sketched quantiles, which only balance the work; the running
-    count over the buckets is exact.
+    Equal values are counted together first, so a frequent value is one row of
+    the order; the running count of the values before it is its rank.
     """
     counts = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(F.percentile_approx("_v", cuts, 10_000)).scalar()
-    slots = counts.withColumn("_bounds", bounds).select(
-        "_v",
-        "_n",
-        F.col("_n").alias("_upto"),
-        F.size(F.filter("_bounds", lambda b: b < F.col("_v"))).alias("_slot"),
-    )
-    ranks = running(slots, [], "_slot", ["_v"], ["_upto"], descending=True).select(
-        F.col("_v").alias(value), (F.col("_upto") - F.col("_n") + 1).alias(name)
-    )
+    upto = total_order_sum(counts, [F.desc("_v")], F.col("_n"), "_upto")
+    ranks = upto.select(F.col("_v").alias(value), (F.col("_upto") - F.col("_n") + 1).alias(name))
     return df.join(ranks, value)
