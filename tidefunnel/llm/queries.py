@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidefunnel.llm import (
     bpe,
+    collocations,
     fingerprints,
     gam,
     html_text,
@@ -16,6 +17,8 @@ from tidefunnel.llm import (
     mixing,
     near_dedup,
     pii,
+    range_join,
+    resampling,
     rules,
     token_files,
 )
@@ -73,11 +76,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op11_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_features", "weight", "score", "rank"]
+    drawn = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select(*columns)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_pii, op2_html_extraction, op3_quality_classifier, op4_near_dedup, op5_token_files,
-        op6_fingerprints, op7_byte_bpe, op8_license_scan, op9_quality_rules, op10_mixing,
+        op6_fingerprints, op7_byte_bpe, op8_license_scan, op9_quality_rules, op10_mixing, op11_range_join,
+        op12_resampling, op13_collocations,
     )
 }
 
@@ -86,4 +104,7 @@ ORACLES: dict[str, str] = {
     "op8_license_scan": licenses.license_sql(),
     "op9_quality_rules": rules.rules_sql(),
     "op10_mixing": mixing.mixing_sql(),
+    "op11_range_join": range_join.range_join_sql(),
+    "op12_resampling": resampling.resampling_sql(),
+    "op13_collocations": collocations.collocations_sql(),
 }
