@@ -30,9 +30,8 @@ def replace_days(df: DataFrame, path: str, days: Iterable[dt.date] | None = None
         .parquet(path)
     )
     written = set(seen.get["days"] or [])
-    for day in days or ():
-        if day.isoformat() not in written:
-            _drop_partition(df.sparkSession, f"{path}/date={day.isoformat()}")
+    gone = [day.isoformat() for day in days or () if day.isoformat() not in written]
+    drop_folders(df.sparkSession, [f"{path}/date={day}" for day in gone])
 
 
 def replace_all(df: DataFrame, path: str) -> None:
@@ -67,7 +66,9 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path)
 
 
-def _drop_partition(spark: SparkSession, folder: str) -> None:
-    fs, path = _file_system(spark, folder)
-    if fs.exists(path):
-        fs.delete(path, True)
+def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Remove partitions that have no rows any more."""
+    for folder in folders:
+        fs, path = _file_system(spark, folder)
+        if fs.exists(path):
+            fs.delete(path, True)

@@ -1,25 +1,29 @@
-"""Nearest neighbours over an embedding table.
-
-Distances are computed in Arrow batches with numpy: each batch keeps only its
-own k best per question, so a scan of n vectors emits about k rows per batch
-and question, whatever n is.  The final ranking is a top-k window, which Spark
-again limits to k rows per partition before the shuffle.
+"""Nearest neighbours over an embedding table: exact, and through a stored index.
+
+A question's answer is the k rows with the least Euclidean distance, ties by id.
+Distances of whole blocks come from one matrix product; the rows that may be among
+the k nearest are then measured again in plain double precision, so an answer does
+not depend on how the work was cut.
+
+Few questions (counted, at most BLOCK) travel with the tasks, and the corpus is
+scanned where it lies.  Many questions meet the corpus in tiles: questions and corpus
+are cut by a hash of the id into tiles of about TILE_BYTES, every pair of tiles is one
+group of a shuffle, and each group hands on k rows for each of its questions.  No
+vector passes the driver then, and the plan does not grow with the questions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
-BLOCK = 1024  # questions answered per scan; more are answered block by block
+BLOCK = 1024  # questions that travel with the tasks; more meet the corpus in tiles
+TILE_BYTES = 32 << 20  # vectors of one side of a tile
+STRIPE = 1 << 21  # numbers of one block of distances
 
 
 def usable(table: DataFrame) -> DataFrame:
@@ -36,140 +40,176 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _block_hits(
-    corpus: DataFrame, question_ids: list, id_type: DataType, questions: np.ndarray, k: int
-) -> DataFrame:
-    email_type = corpus.schema["email_id"].dataType.simpleString()
-    schema = f"question int, email_id {email_type}, l2 double, similarity double"
-    norms = np.linalg.norm(questions, axis=1)
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = np.array(batch.column("email_id").to_pylist(), dtype=object)
-            vectors = matrix(batch.column("embedding"))
-            lengths = np.linalg.norm(vectors, axis=1)
-            out: dict[str, list] = {"question": [], "email_id": [], "l2": [], "similarity": []}
-            for i, q in enumerate(questions):
-                l2 = np.sqrt(((vectors - q) ** 2).sum(axis=1))
-                # all rows up to the k-th distance; ties are settled by the ranking
-                edge = np.partition(l2, k - 1)[k - 1] if len(l2) > k else np.inf
-                near = np.flatnonzero(l2 <= edge)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    cosine = (vectors[near] @ q) / (lengths[near] * norms[i])
-                out["question"] += [i] * len(near)
-                out["email_id"] += list(ids[near])
-                out["l2"] += list(l2[near])
-                out["similarity"] += list(cosine)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "question": pa.array(out["question"], pa.int32()),
-                    "email_id": pa.array(out["email_id"], batch.schema.field("email_id").type),
-                    "l2": pa.array(out["l2"], pa.float64()),
-                    "similarity": pa.array(out["similarity"], pa.float64()),
-                }
-            )
-
-    fitting = usable(corpus).where(F.size("embedding") == questions.shape[1])
-    near = fitting.select("email_id", "embedding").mapInArrow(best, schema)
-    ranked = near.withColumn(
-        "rank",
-        F.row_number().over(Window.partitionBy("question").orderBy("l2", "email_id")),
-    ).where(F.col("rank") <= k)
-    names = F.array(*[F.lit(q).cast(id_type) for q in question_ids])
-    return ranked.select(
-        F.get(names, F.col("question")).alias("question_id"), "rank", "email_id", "l2", "similarity"
+def closest(questions: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, row, distance) of the k nearest rows of each question and of all ties with the last."""
+    parts = []
+    sizes = (vectors**2).sum(axis=1)
+    step = max(1, STRIPE // max(1, len(vectors)))
+    for at in range(0, len(questions), step):
+        q = questions[at : at + step]
+        own = (q**2).sum(axis=1)
+        rough = sizes[None, :] - 2.0 * (q @ vectors.T) + own[:, None]
+        near = np.full(len(q), np.inf)
+        if len(vectors) > k:
+            near = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        # the product loses some digits of the larger terms
+        near = near + 1e-9 * (own + sizes.max(initial=0.0))
+        i, row = np.nonzero(rough <= near[:, None])
+        exact = np.empty(len(i))
+        for c in range(0, len(i), 1 << 14):
+            difference = vectors[row[c : c + (1 << 14)]] - q[i[c : c + (1 << 14)]]
+            exact[c : c + (1 << 14)] = np.sqrt((difference**2).sum(axis=1))
+        order = np.lexsort((exact, i))
+        i, row, exact = i[order], row[order], exact[order]
+        begin = np.searchsorted(i, np.arange(len(q)))
+        last = np.minimum(begin + k, np.searchsorted(i, np.arange(len(q)), side="right")) - 1
+        keep = exact <= exact[last][i]
+        parts.append((i[keep] + at, row[keep], exact[keep]))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _cosines(questions: np.ndarray, vectors: np.ndarray, i: np.ndarray, row: np.ndarray) -> np.ndarray:
+    q, v = questions[i], vectors[row]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return (v * q).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (q * q).sum(axis=1))
+
+
+def _hits_table(ids: pa.Array, names: pa.Array, questions, vectors, k: int) -> pa.Table:
+    i, row, distance = closest(questions, vectors, k)
+    return pa.table(
+        {
+            "question_id": names.take(pa.array(i)),
+            "email_id": ids.take(pa.array(row)),
+            "l2": pa.array(distance),
+            "similarity": pa.array(_cosines(questions, vectors, i, row)),
+        }
     )
 
 
-def _blocks(questions: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
-    """Questions in blocks of bounded size, streamed to the driver."""
-    rows = usable(questions).select("question_id", "embedding").toLocalIterator()
-    while block := list(islice(rows, BLOCK)):
-        for size in sorted({len(r[1]) for r in block}):
-            own = [r for r in block if len(r[1]) == size]
-            yield [r[0] for r in own], np.array([r[1] for r in own], dtype=np.float64)
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("question_id").orderBy("l2", "email_id")
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("question_id", "rank", "email_id", "l2", "similarity")
 
 
-def nearest(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    """The k nearest rows of ``corpus`` (email_id, embedding) per question.
-
-    Ordered by Euclidean distance, with the cosine similarity alongside.
-    ``questions`` has question_id and embedding; a block of up to 1,024 of
-    them shares one scan of the corpus.  Vectors that are NULL, not finite or of
-    another length than the question's are no neighbours.
-    """
-    result = None
-    id_type = questions.schema["question_id"].dataType
-    for ids, vectors in _blocks(questions):
-        hits = _block_hits(corpus, ids, id_type, vectors, k)
-        result = hits if result is None else result.unionByName(hits)
-    if result is None:
-        names = id_type.simpleString()
-        ids = corpus.schema["email_id"].dataType.simpleString()
-        empty = f"question_id {names}, rank int, email_id {ids}, l2 double, similarity double"
-        return corpus.sparkSession.createDataFrame([], empty)
-    return result
+def _types(corpus: DataFrame, questions: DataFrame) -> str:
+    question, email = (t.simpleString() for t in (questions.schema["question_id"].dataType, corpus.schema["email_id"].dataType))
+    return f"question_id {question}, email_id {email}, l2 double, similarity double"
 
 
-# --- inverted lists -------------------------------------------------------------------
+def _scanned(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """Hits of at most BLOCK questions: they travel with the tasks, the corpus stays where it is.
 
+    With a column ``cell`` on the corpus and ``cells`` on the questions, a question meets its cells only.
+    """
+    probed = "cells" in questions.columns
+    rows = questions.toArrow()
+    names, sizes = rows.column("question_id").combine_chunks(), np.array([len(v) for v in rows.column("embedding")])
+    vectors = rows.column("embedding").to_pylist()
+    wanted = [set(c) for c in rows.column("cells").to_pylist()] if probed else None
 
-def train_cells(corpus: DataFrame, cells: int, seed: int = 7) -> np.ndarray:
-    """Cell centres by cosine k-means over all usable vectors, whatever their number."""
-    rows = usable(corpus).select(array_to_vector("embedding").alias("features"))
-    model = KMeans(
-        k=cells, seed=seed, distanceMeasure="cosine", featuresCol="features", maxIter=10
-    ).fit(rows)
-    return np.array(model.clusterCenters())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lengths = np.asarray(batch.column("embedding").value_lengths())
+            cells = np.asarray(batch.column("cell")) if probed else np.zeros(batch.num_rows, np.int64)
+            for size in np.unique(sizes).tolist():
+                for cell in np.unique(cells).tolist():
+                    asked = [n for n in np.flatnonzero(sizes == size).tolist() if not probed or cell in wanted[n]]
+                    here = np.flatnonzero((lengths == size) & (cells == cell))
+                    if not asked or not len(here):
+                        continue
+                    part = batch.take(pa.array(here))
+                    table = _hits_table(
+                        part.column("email_id"),
+                        names.take(pa.array(asked)),
+                        np.array([vectors[n] for n in asked], np.float64),
+                        matrix(part.column("embedding")),
+                        k,
+                    )
+                    yield from table.to_batches()
+
+    columns = ["email_id", "embedding", "cell"] if probed else ["email_id", "embedding"]
+    return corpus.select(*columns).mapInArrow(run, _types(corpus, questions))
+
+
+def _tiled(corpus: DataFrame, questions: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """Hits of any number of questions, by pairs of tiles within ``keys`` (size of the vectors, cell)."""
+    key = [F.col(c) for c in keys]
+
+    def tiles(df: DataFrame) -> DataFrame:
+        """Number of tiles of each key, from its rows and their size."""
+        return df.groupBy(*key).agg(F.ceil(F.count("*") * F.max("width") * 4 / TILE_BYTES).alias("tiles"))
+
+    left, right = tiles(corpus), tiles(questions)
+    # one row for each length of vector (and cell)
+    many = left.withColumnRenamed("tiles", "ctiles").join(right.withColumnRenamed("tiles", "qtiles"), keys)
+
+    def dealt(df: DataFrame, name: str, own: str, other: str, own_tile: str, other_tile: str) -> DataFrame:
+        """Each row in its own tile, once for each tile of the other side."""
+        placed = df.join(F.broadcast(many), keys).withColumns(
+            {
+                own_tile: F.pmod(F.xxhash64(name), F.col(own)).cast("int"),
+                other_tile: F.explode(F.sequence(F.lit(0), (F.col(other) - 1).cast("int"))),
+            }
+        )
+        return placed.select(*keys, "i", "j", name, "embedding")
+
+    c = dealt(corpus, "email_id", "ctiles", "qtiles", "j", "i")
+    q = dealt(questions, "question_id", "qtiles", "ctiles", "i", "j")
+    both = c.unionByName(q, allowMissingColumns=True).withColumn("asks", F.col("email_id").isNull())
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = np.asarray(table.column("asks").combine_chunks())
+        q_rows, c_rows = table.filter(pa.array(asks)), table.filter(pa.array(~asks))
+        if not len(q_rows) or not len(c_rows):
+            return schema.empty_table()
+        return _hits_table(
+            c_rows.column("email_id").combine_chunks(),
+            q_rows.column("question_id").combine_chunks(),
+            matrix(q_rows.column("embedding")),
+            matrix(c_rows.column("embedding")),
+            k,
+        )
+
+    types = {f.name: f.dataType for f in both.schema}
+    schema = pa.schema(
+        [
+            ("question_id", _arrow(types["question_id"])),
+            ("email_id", _arrow(types["email_id"])),
+            ("l2", pa.float64()),
+            ("similarity", pa.float64()),
+        ]
+    )
+    return both.groupBy(*keys, "i", "j").applyInArrow(run, _types(corpus, questions))
 
 
-def nearest_cells(vectors: np.ndarray, centres: np.ndarray, probes: int) -> np.ndarray:
-    """Indexes of the ``probes`` centres with the highest cosine per vector."""
-    unit = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    return np.argsort(-(vectors @ unit.T), axis=1, kind="stable")[:, :probes]
+def _arrow(kind) -> pa.DataType:
+    return {"string": pa.string(), "int": pa.int32()}.get(kind.simpleString(), pa.int64())
 
 
-def write_cells(corpus: DataFrame, centres: np.ndarray, path: str) -> None:
-    """Store the vectors partitioned by cell, so that a search reads few cells.
+def _ready(table: DataFrame, name: str, *more: str) -> DataFrame:
+    rows = usable(table).where(F.col(name).isNotNull())
+    return rows.select(name, "embedding", F.size("embedding").alias("width"), *more)
 
-    A crowded cell is split over several files by the rebalance hint.
-    """
-    id_type = corpus.schema["email_id"].dataType.simpleString()
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cell = nearest_cells(matrix(batch.column("embedding")), centres, 1)[:, 0]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("email_id"), batch.column("embedding"), pa.array(cell, pa.int32())],
-                names=["email_id", "embedding", "cell"],
-            )
-
-    placed = usable(corpus).select("email_id", "embedding").mapInArrow(
-        assign, f"email_id {id_type}, embedding array<float>, cell int"
-    )
-    placed.hint("rebalance", "cell").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy("cell").parquet(path)
+def nearest_tiled(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """As :func:`nearest`, always in tiles."""
+    return _best(_tiled(_ready(corpus, "email_id"), _ready(questions, "question_id"), k, ["width"]), k)
 
 
-def nearest_probed(
-    corpus_schema: str, path: str, centres: np.ndarray, questions: DataFrame, k: int, probes: int
-) -> DataFrame:
-    """Approximate search: rank only the vectors of the probed cells.
+def nearest(corpus: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """The k nearest rows of ``corpus`` (email_id, embedding) for each question.
 
-    Questions are answered together over the union of their cells, which is a
-    superset of what each of them asked for.
+    ``questions`` has question_id, without repeats, and embedding.  The result has
+    question_id, rank, email_id, l2 and the cosine similarity.  Vectors that are
+    NULL, not finite or of another length than the question's are no neighbours;
+    rows without an id are left out.
     """
-    spark = questions.sparkSession
-    table = spark.read.schema(f"{corpus_schema}, cell int").parquet(path)
-    result = None
-    id_type = questions.schema["question_id"].dataType
-    for ids, vectors in _blocks(questions):
-        wanted = sorted({int(c) for c in nearest_cells(vectors, centres, probes).ravel()})
-        hits = _block_hits(table.where(F.col("cell").isin(wanted)), ids, id_type, vectors, k)
-        result = hits if result is None else result.unionByName(hits)
-    return result if result is not None else nearest(table, questions, k)
+    asked = _ready(questions, "question_id")
+    if asked.limit(BLOCK + 1).count() > BLOCK:
+        return nearest_tiled(corpus, questions, k)
+    return _best(_scanned(_ready(corpus, "email_id"), asked.select("question_id", "embedding"), k), k)

