@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefunnel.functions.exprs import rounded
+from tidefunnel.functions.exprs import base64url, rounded
 from tidefunnel.operators.cells import VectorIndex
 from tidefunnel.operators.tables import folder_exists
 from tidefunnel.operators.vectors import nearest, nearest_tiled
 from tidefunnel.registry import register
 from tidefunnel.session import work_folder
-from tidefunnel.sources.messages import base64url, raw_messages
 from tidefunnel.sources.warehouse import Warehouse
 
 BATCH_SIZE = 5  # mails taken per poll
@@ -96,9 +95,10 @@ def plain_body() -> Column:
     return F.coalesce(_decoded(data), F.lit(""))
 
 
-def normalize_messages(messages: DataFrame) -> DataFrame:
-    """Sender, recipient, subject, plain body and message id of raw messages."""
+def normalize_messages(messages: DataFrame, *more: str) -> DataFrame:
+    """Sender, recipient, subject, plain body and message id of raw messages (and the columns ``more``)."""
     return parsed(messages).select(
+        *more,
         F.col("m.id").alias("gmail_message_id"),
         F.col("m.threadId").alias("gmail_thread_id"),
         F.coalesce(_header("from"), F.lit("")).alias("from_address"),
@@ -281,18 +281,13 @@ def reply_usage_stats(wh: Warehouse) -> DataFrame:
 # --- registered queries -----------------------------------------------------------------
 
 
-def _messages(wh: Warehouse) -> DataFrame:
-    """Raw messages of all stored mails."""
-    return raw_messages(wh.raw("documents"))
-
-
 def _q_reply_address(wh: Warehouse) -> DataFrame:
-    mails = normalize_messages(_messages(wh))
+    mails = normalize_messages(wh.table("messages"))
     return mails.select("gmail_message_id", reply_address(F.col("from_address")).alias("reply_address"))
 
 
 def _q_compose_reply(wh: Warehouse) -> DataFrame:
-    mails = normalize_messages(_messages(wh)).withColumn("answer", F.col("body_text"))
+    mails = normalize_messages(wh.table("messages")).withColumn("answer", F.col("body_text"))
     return compose_replies(mails)
 
 
@@ -301,8 +296,8 @@ def _rounded_hits(hits: DataFrame) -> DataFrame:
 
 
 for _key, _plan in {
-    "select_unread_batch": lambda wh: select_unread(_messages(wh)),
-    "normalize_messages": lambda wh: normalize_messages(_messages(wh)),
+    "select_unread_batch": lambda wh: select_unread(wh.table("messages")),
+    "normalize_messages": lambda wh: normalize_messages(wh.table("messages")),
     "reply_address": _q_reply_address,
     "compose_reply": _q_compose_reply,
     "similarity_search": lambda wh: _rounded_hits(similarity_search(wh)),

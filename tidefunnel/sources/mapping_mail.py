@@ -1,4 +1,4 @@
-"""Raw mailbox messages as JSON, made from the documents table.
+"""Fixture mapping of the mailbox: raw messages as JSON, derived from the documents table.
 
 The message API delivers nested JSON with base64url bodies.  This builds the
 same shape from ``documents``, one layout per language, so that the message
@@ -15,14 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def base64url(text: Column) -> Column:
-    """URL-safe base64 without padding or line breaks."""
-    encoded = F.base64(text.cast("binary"))
-    # byte-wise replace is far quicker on long texts than translate
-    for old, new in (("\r\n", ""), ("+", "-"), ("/", "_")):
-        encoded = F.replace(encoded, F.lit(old), F.lit(new))
-    return F.rtrim(encoded, F.lit("="))
+from tidefunnel.functions.exprs import base64url
 
 
 def raw_messages(documents: DataFrame) -> DataFrame:

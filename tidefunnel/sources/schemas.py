@@ -117,3 +117,6 @@ ENTITY_SCHEMAS: dict[str, str] = {
     "email_replies": "id string, email_id string, model string, reply_text string,"
                      " tokens_prompt int, tokens_completion int, created_at timestamp",
 }
+
+# The mailbox as delivered: the message jobs read it as a table or as a stream of files.
+MAILBOX_SCHEMAS = {"messages": "id string, received_at timestamp, message string"}

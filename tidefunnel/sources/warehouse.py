@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefunnel.sources.mapping import ENTITIES
-from tidefunnel.sources.schemas import ENTITY_SCHEMAS, RAW_SCHEMAS
+from tidefunnel.sources.mapping_mail import raw_messages
+from tidefunnel.sources.schemas import ENTITY_SCHEMAS, MAILBOX_SCHEMAS, RAW_SCHEMAS
 
 FIXTURE_AS_OF = dt.date(2024, 1, 30)
 
@@ -32,6 +33,7 @@ class Warehouse:
         as_of: dt.date,
         names: tuple[str, ...],
         raw_dir: str | None = None,
+        streamer: Callable[[str], DataFrame] | None = None,
     ) -> None:
         # One time zone for all stored moments; days begin at UTC midnight.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -40,6 +42,7 @@ class Warehouse:
         self.names = names
         self.raw_dir = raw_dir
         self._loader = loader
+        self._streamer = streamer
         self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -47,6 +50,12 @@ class Warehouse:
             self._frames[name] = self._loader(name)
         return self._frames[name]
 
+    def stream(self, name: str) -> DataFrame:
+        """A table as a stream of its files."""
+        if self._streamer is None:
+            raise ValueError("this warehouse has no files to stream")
+        return self._streamer(name)
+
     def raw(self, name: str) -> DataFrame:
         """A raw parquet table of the fixture folder."""
         if self.raw_dir is None:
@@ -59,17 +68,27 @@ class Warehouse:
     ) -> Warehouse:
         """Entities derived from the raw parquet tables by the fixture mapping."""
         return cls(
-            spark, lambda name: _mapped(spark, sf_dir, name), as_of, tuple(ENTITIES), sf_dir
+            spark,
+            lambda name: _mapped(spark, sf_dir, name),
+            as_of,
+            tuple(ENTITIES),
+            sf_dir,
+            lambda name: _mapped_stream(spark, sf_dir, name),
         )
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, as_of: dt.date) -> Warehouse:
         """Entities stored as parquet folders under ``root``, one per entity."""
 
+        schemas = ENTITY_SCHEMAS | MAILBOX_SCHEMAS
+
         def load(name: str) -> DataFrame:
-            return spark.read.schema(ENTITY_SCHEMAS[name]).parquet(f"{root}/{name}")
+            return spark.read.schema(schemas[name]).parquet(f"{root}/{name}")
+
+        def stream(name: str) -> DataFrame:
+            return spark.readStream.schema(schemas[name]).parquet(f"{root}/{name}")
 
-        return cls(spark, load, as_of, tuple(ENTITY_SCHEMAS))
+        return cls(spark, load, as_of, tuple(ENTITY_SCHEMAS), streamer=stream)
 
     @classmethod
     def from_frames(
@@ -84,7 +103,18 @@ class Warehouse:
             self.table(name).createOrReplaceTempView(prefix + name)
 
 
+def _mapped_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its files, one a batch, be it one file or a folder of parts."""
+    base = "documents" if name == "messages" else name
+    # as a pattern, the path may name a file as well as a folder
+    files = spark.readStream.schema(RAW_SCHEMAS[base]).option("maxFilesPerTrigger", 1)
+    rows = files.parquet(f"{sf_dir}/{base}.parque[t]")
+    return raw_messages(rows) if name == "messages" else rows
+
+
 def _mapped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "messages":
+        return raw_messages(read_raw(spark, sf_dir, "documents"))
     entity = ENTITIES[name]
     if name == "customers":
         base = _customers_base(spark, sf_dir)
