@@ -18,13 +18,15 @@ def keyed_merge(
     update: list[str],
     order_by: list[str],
     stamp: tuple[str, Column] | None = None,
+    change: str | None = None,
 ) -> DataFrame:
     """Insert rows with new keys; on a known key replace only ``update``.
 
     ``order_by`` ranks repeated keys within the batch: the first one (lowest)
     would be inserted and the following ones applied to it, so new rows take
     the ``update`` columns of the last and all others of the first.  ``stamp``
-    sets a column on rows that the batch updated.
+    sets a column on rows that the batch updated.  ``change`` names a further
+    column that says 'insert' or 'update' on rows of the batch.
     """
     columns = target.columns
     incoming = [c for c in columns if c in batch.columns and c not in keys]
@@ -68,6 +70,8 @@ def keyed_merge(
         else:
             value = F.col(f"o.{c}")
         out.append(value.alias(c))
+    if change is not None:
+        out.append(F.when(touched, F.when(known, "update").otherwise("insert")).alias(change))
     return joined.select(*out)
 
 

@@ -85,3 +85,22 @@ SQL = {
                           ELSE c.tag END AS tags
         FROM customers c LEFT JOIN top t ON t.id = c.id""",
 }
+
+SQL |= {
+    "upsert_orders_stored": SQL["upsert_orders"],
+    "upsert_emails_stored": SQL["upsert_emails"],
+    "upsert_embeddings_stored": SQL["upsert_embeddings"],
+    "merge_customers_stored": """
+        SELECT CAST(id AS VARCHAR) AS id, email, 'kp_' || CAST(id AS VARCHAR) AS klaviyo_profile_id,
+               CAST(total_orders AS BIGINT) AS total_orders
+        FROM customers
+        UNION ALL
+        SELECT md5('friend' || CAST(id AS VARCHAR) || '@example.com'),
+               'friend' || CAST(id AS VARCHAR) || '@example.com', 'kp_r' || CAST(id AS VARCHAR), NULL
+        FROM referrals""",
+    "orders_change_feed": """
+        SELECT 1 AS version, 'update' AS change, shopify_order_id, 'paid' AS financial_status
+        FROM shopify_orders WHERE financial_status <> 'paid'
+        UNION ALL SELECT 2, 'insert', shopify_order_id || '_again', financial_status
+        FROM shopify_orders WHERE cancelled_at IS NOT NULL""",
+}

@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefunnel.functions.exprs import json_text, midnight
+from tidefunnel.operators.keyed import KeyedTable
 from tidefunnel.operators.merge import append_new, keyed_merge
+from tidefunnel.operators.tables import folder_exists
 from tidefunnel.registry import register
+from tidefunnel.session import work_folder
 from tidefunnel.sources.warehouse import Warehouse
 
 
@@ -121,6 +124,35 @@ def tag_vip_customers(customers: DataFrame, limit: int = 5) -> DataFrame:
     )
 
 
+# --- the same on stored tables: only the buckets of a batch are read and rewritten ------
+
+# table: its key and the columns that a batch replaces
+UPSERTS = {
+    "orders": (["shopify_order_id"], ["financial_status", "fulfillment_status"]),
+    "customers": (["email"], ["klaviyo_profile_id"]),
+    "emails": (["gmail_message_id"], ["subject"]),
+    "embeddings": (["email_id"], ["embedding"]),
+}
+BUCKETS = 64  # of a stored table; one bucket should fit a few tasks
+
+
+def stored_table(name: str, content: DataFrame, root: str, buckets: int = BUCKETS) -> KeyedTable:
+    """The stored table below ``root``: opened if it is there, else written from ``content``."""
+    if folder_exists(content.sparkSession, f"{root}/meta"):
+        return KeyedTable.open(content.sparkSession, root)
+    return KeyedTable.create(content, root, UPSERTS[name][0], buckets)
+
+
+def store_batch(
+    table: KeyedTable, name: str, batch: DataFrame, order_by: list[str], at: Column | None = None
+) -> list[int]:
+    """Merge a batch into a stored table; ``at`` stamps updated orders.  Returns the rewritten buckets."""
+    if name == "customers":
+        batch = batch.withColumn("id", F.md5("email").cast(table.schema["id"].dataType))
+    stamp = ("updated_at", at) if at is not None and "updated_at" in table.schema.names else None
+    return table.merge(batch, UPSERTS[name][1], order_by, stamp)
+
+
 # --- registered queries: batches derived from the given tables ---------------------
 
 
@@ -146,8 +178,47 @@ def _merged_orders(wh: Warehouse) -> DataFrame:
     return upsert_orders(_order_target(wh), _order_batch(wh), now(wh), ["seq"])
 
 
-def _q_upsert_orders(wh: Warehouse) -> DataFrame:
-    return _merged_orders(wh).select(
+def _stored_orders(wh: Warehouse) -> KeyedTable:
+    """All orders, then the batch of the unpaid ones, then that of the repeated ones."""
+    table = stored_table("orders", _order_target(wh), work_folder(wh.spark, "orders"))
+    batch = _order_batch(wh)
+    fresh = F.col("shopify_order_id").endswith("_again")
+    for part in (batch.where(~fresh), batch.where(fresh)):
+        store_batch(table, "orders", part, ["seq"], now(wh))
+    return table
+
+
+def _q_upsert_orders_stored(wh: Warehouse) -> DataFrame:
+    return _order_columns(_stored_orders(wh).read())
+
+
+def _q_orders_change_feed(wh: Warehouse) -> DataFrame:
+    return _stored_orders(wh).changes(0).select("version", "change", "shopify_order_id", "financial_status")
+
+
+def _q_upsert_emails_stored(wh: Warehouse) -> DataFrame:
+    emails, batch = _email_batch(wh)
+    table = stored_table("emails", emails, work_folder(wh.spark, "emails"))
+    store_batch(table, "emails", batch, ["subject"])
+    return table.read()
+
+
+def _q_upsert_embeddings_stored(wh: Warehouse) -> DataFrame:
+    vectors, batch = _vector_batch(wh)
+    table = stored_table("embeddings", vectors, work_folder(wh.spark, "embeddings"))
+    store_batch(table, "embeddings", batch, ["embedding"])
+    return _vector_columns(table.read())
+
+
+def _q_merge_customers_stored(wh: Warehouse) -> DataFrame:
+    customers = _customer_target(wh)
+    table = stored_table("customers", customers, work_folder(wh.spark, "customers"))
+    store_batch(table, "customers", _synced_profiles(wh), ["klaviyo_profile_id"])
+    return table.read()
+
+
+def _order_columns(orders: DataFrame) -> DataFrame:
+    return orders.select(
         "shopify_order_id",
         "customer_id",
         "financial_status",
@@ -156,6 +227,10 @@ def _q_upsert_orders(wh: Warehouse) -> DataFrame:
     )
 
 
+def _q_upsert_orders(wh: Warehouse) -> DataFrame:
+    return _order_columns(_merged_orders(wh))
+
+
 def _q_stamp_updated_at(wh: Warehouse) -> DataFrame:
     return _merged_orders(wh).select("shopify_order_id", "updated_at")
 
@@ -174,13 +249,17 @@ def _synced_profiles(wh: Warehouse) -> DataFrame:
     )
 
 
-def _q_merge_customer_identity(wh: Warehouse) -> DataFrame:
-    customers = wh.table("customers").select(
+def _customer_target(wh: Warehouse) -> DataFrame:
+    return wh.table("customers").select(
         F.col("id").cast("string").alias("id"),
         "email",
         F.lit(None).cast("string").alias("klaviyo_profile_id"),
         F.col("total_orders").cast("long").alias("total_orders"),
     )
+
+
+def _q_merge_customer_identity(wh: Warehouse) -> DataFrame:
+    customers = _customer_target(wh)
     # profiles of customers with orders are already known, without properties
     profiles = customers.where("total_orders > 0").select(
         F.concat(F.lit("kp_"), "id").alias("klaviyo_profile_id"),
@@ -206,7 +285,7 @@ def _q_append_ad_events(wh: Warehouse) -> DataFrame:
     )
 
 
-def _q_upsert_emails(wh: Warehouse) -> DataFrame:
+def _email_batch(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
     emails = wh.table("emails").drop("id")
     resent = emails.where("status = 'new'").withColumns(
         {"subject": F.concat(F.lit("Again: "), F.coalesce("subject", F.lit(""))), "body_text": F.lit("x")}
@@ -214,21 +293,34 @@ def _q_upsert_emails(wh: Warehouse) -> DataFrame:
     fresh = emails.where("status = 'failed'").withColumn(
         "gmail_message_id", F.concat("gmail_message_id", F.lit("_b"))
     )
-    return upsert_emails(emails, resent.unionByName(fresh), ["subject"])
+    return emails, resent.unionByName(fresh)
 
 
-def _q_upsert_embeddings(wh: Warehouse) -> DataFrame:
+def _q_upsert_emails(wh: Warehouse) -> DataFrame:
+    emails, batch = _email_batch(wh)
+    return upsert_emails(emails, batch, ["subject"])
+
+
+def _vector_batch(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
     vectors = wh.table("email_embeddings")
     flipped = F.transform("embedding", lambda x: -x)
     again = vectors.where("embedding[0] > 0").withColumn("embedding", flipped)
     fresh = vectors.withColumn("email_id", -F.col("email_id") - 1)
-    merged = upsert_embeddings(vectors, again.unionByName(fresh), ["embedding"])
+    return vectors, again.unionByName(fresh)
+
+
+def _vector_columns(vectors: DataFrame) -> DataFrame:
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return merged.select(
+    return vectors.select(
         "email_id", F.size("embedding").alias("dims"), F.round(total, 4).alias("component_sum")
     )
 
 
+def _q_upsert_embeddings(wh: Warehouse) -> DataFrame:
+    vectors, batch = _vector_batch(wh)
+    return _vector_columns(upsert_embeddings(vectors, batch, ["embedding"]))
+
+
 def _replies_and_mails(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
     replies = wh.table("email_replies")
     emails = wh.table("emails").withColumn("reply_sent_at", F.lit(None).cast("timestamp_ntz"))
@@ -288,6 +380,11 @@ def _q_tag_vip_customers(wh: Warehouse) -> DataFrame:
 
 for _key, _plan in {
     "upsert_orders": _q_upsert_orders,
+    "upsert_orders_stored": _q_upsert_orders_stored,
+    "orders_change_feed": _q_orders_change_feed,
+    "upsert_emails_stored": _q_upsert_emails_stored,
+    "upsert_embeddings_stored": _q_upsert_embeddings_stored,
+    "merge_customers_stored": _q_merge_customers_stored,
     "stamp_updated_at": _q_stamp_updated_at,
     "merge_customer_identity": _q_merge_customer_identity,
     "append_ad_events": _q_append_ad_events,
