@@ -19,6 +19,7 @@ matches stay as they are.  Texts without any sign of a disguise skip all of this
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefunnel.llm.common import documents
+from tidefunnel.llm.common import documents, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    # tried at the first digit of a run only: from another one it fails where the first one does
+    "ip": r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)",
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -80,22 +82,24 @@ def _compiled() -> dict[str, re.Pattern]:
     word = "|".join(DIGITS)
     at = r"(?:\s*[\[({<]\s*at\s*[\])}>]\s*|\s+at\s+)"
     dot = r"(?:\s*[\[({<]\s*(?:dot|point)\s*[\])}>]\s*|\s+dot\s+)"
-    name = r"[A-Za-z0-9_%+-]+"
+    name = r"[A-Za-z0-9_%+-]++"
+    part = r"[A-Za-z0-9-]++"
     return {kind: re.compile(p) for kind, p in PATTERNS.items()} | {
         "odd": re.compile("[" + "".join(map(re.escape, characters())) + "]"),
+        "looks": re.compile("[" + "".join(re.escape(c) for c, new in characters().items() if new) + "]+"),
+        "hidden": re.compile(f"[{INVISIBLE}]+"),
         "digits": re.compile(
             rf"(?<![A-Za-z0-9])(?:{word}|[0-9]+)(?:[\s,-]+(?:{word}|[0-9]+))+(?![A-Za-z0-9])", re.I
         ),
         "digit": re.compile(rf"({word})|([0-9]+)|([\s,-]+)", re.I),
         "spelled": re.compile(rf"(?<![A-Za-z])(?:{word})(?![A-Za-z])", re.I),
-        # a whole disguised address: the sign for "@" or one for "." is written out
-        "address": re.compile(
-            rf"{name}(?:(?:\.|{dot}){name})*(?:{at}|\s*@\s*)[A-Za-z0-9-]+(?:(?:\.|{dot})[A-Za-z0-9-]+)+",
-            re.I,
-        ),
+        # a disguised address is a chain of names, a sign for "@" and a domain; each sign is
+        # found first, then what ends before it and what begins behind it
+        "core": re.compile(r"(?P<plain>(?<=\s)at(?=\s))|[\[({<]\s*+at\s*+[\])}>]|@", re.I),
+        "chain": re.compile(rf"{name}(?:(?:\.|{dot}){name})*+", re.I),
+        "domain": re.compile(rf"{part}(?:(?:\.|{dot}){part})++", re.I),
         "dots": re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:\.|{dot})[0-9]{{1,3}}){{3}}(?![0-9])", re.I),
         "sign": re.compile(rf"({at}|\s*@\s*)|({dot})", re.I),
-        "at": re.compile(rf"(?P<plain>\s+at\s+)|{at}|\s*@\s*", re.I),
         "bracket": re.compile(r"[\[({<]\s*at\s*[\])}>]", re.I),
         "apart": re.compile(r"@\s|\s@"),
         # a name as only addresses have it, and a domain, around a plain "at"
@@ -157,33 +161,83 @@ def _emails(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+KEPT, WHOLE, EACH = 0, 1, 2  # how the characters of a part stand for the source
+
+
 class Rewritten:
-    """A text under rewriting: its characters, and the source span of each."""
+    """A text under rewriting, and where in the source its parts come from.
+
+    ``parts`` holds (place, source start, source end, how) in order of place: a KEPT part
+    is a stretch of the source, each character of an EACH part replaces one of the
+    source, and every character of a WHOLE part stands for all of its source span.
+    Memory follows the edits.
+    """
 
     def __init__(self, text: str):
-        self.text, self.start, self.end, self.touched = text, None, None, None
+        self.text, self.parts = text, [(0, 0, len(text), KEPT)]
+
+    @property
+    def edited(self) -> bool:
+        return len(self.parts) > 1 or self.parts[0][3] != KEPT
 
-    def replace(self, edits: list[tuple[int, int, str]]) -> None:
+    def replace(self, edits: list[tuple[int, int, str]], how: int = WHOLE) -> None:
         """Put strings in the place of spans (in order, apart from each other)."""
         if not edits:
             return
-        n = len(self.text)
-        if self.start is None:
-            self.start, self.end, self.touched = list(range(n)), list(range(1, n + 1)), [False] * n
-        text, start, end, touched, at = [], [], [], [], 0
-        for a, b, new in edits:
-            text += (self.text[at:a], new)
-            start += self.start[at:a] + [self.start[a]] * len(new)
-            end += self.end[at:a] + [self.end[b - 1]] * len(new)
-            touched += self.touched[at:a] + [True] * len(new)
+        old, n = self.parts, len(self.text)
+        ends = [p[0] for p in old[1:]] + [n]
+        text, parts, place, at, k = [], [], 0, 0, 0
+
+        def stretch(upto: int, way: int) -> None:
+            """What lies before ``upto`` stays as it was mapped, part by part."""
+            nonlocal at, k, place
+            while at < upto:
+                while ends[k] <= at:
+                    k += 1
+                out, start, end, was = old[k]
+                stop = min(upto, ends[k])
+                if was == WHOLE:
+                    parts.append((place, start, end, WHOLE))
+                else:
+                    parts.append((place, start + at - out, start + stop - out, max(was, way)))
+                place += stop - at
+                at = stop
+
+        for a, b, new in [*edits, (n, n, "")]:
+            if at < a:
+                text.append(self.text[at:a])
+                stretch(a, KEPT)
+            if new and how == EACH:
+                stretch(b, EACH)
+                text.append(new)
+            elif new:
+                while ends[k] <= a:
+                    k += 1
+                out, start, _, was = old[k]
+                first = start if was == WHOLE else start + a - out
+                while ends[k] < b:
+                    k += 1
+                out, start, end, was = old[k]
+                parts.append((place, first, end if was == WHOLE else start + b - out, WHOLE))
+                text.append(new)
+                place += len(new)
             at = b
-        self.text = "".join([*text, self.text[at:]])
-        self.start = start + self.start[at:]
-        self.end = end + self.end[at:]
-        self.touched = touched + self.touched[at:]
+        self.text, self.parts = "".join(text), parts or [(0, 0, 0, WHOLE)]
+
+    def _part(self, i: int) -> int:
+        return bisect_right(self.parts, i, key=lambda p: p[0]) - 1
 
     def source(self, a: int, b: int) -> tuple[int, int]:
-        return self.start[a], self.end[b - 1]
+        first, last = self.parts[self._part(a)], self.parts[self._part(b - 1)]
+        return (
+            first[1] if first[3] == WHOLE else first[1] + a - first[0],
+            last[2] if last[3] == WHOLE else last[1] + b - last[0],
+        )
+
+    def touches(self, a: int, b: int) -> bool:
+        """Whether a rewriting put, or took away, something in these places."""
+        x, y = self.source(a, b)
+        return y - x != b - a or any(p[3] for p in self.parts[self._part(a) : self._part(b - 1) + 1])
 
 
 def _digit_edits(text: str, least: int) -> list[tuple[int, int, str]]:
@@ -200,23 +254,45 @@ def _digit_edits(text: str, least: int) -> list[tuple[int, int, str]]:
     return out
 
 
+def _spread(text: str, core: re.Match) -> tuple[int, int]:
+    """A sign with the white space around it."""
+    a, b = core.span()
+    while a and text[a - 1].isspace():
+        a -= 1
+    while b < len(text) and text[b].isspace():
+        b += 1
+    return a, b
+
+
 def _addresses(text: str) -> Iterator[tuple[int, int]]:
     """Spans of disguised addresses.
 
     Plain words around "at" alone are prose; an address has a written dot or bracket,
     or else a name of several parts and a domain ("jo.do at x.org").
     What stands behind the "at" of prose, or between two signs, may be the name of an
-    address ("me at jo.do (at) x.org"), so the search goes on behind the sign.
+    address ("me at jo.do (at) x.org"), so a run of prose takes nothing from the next sign.
+    A sign's names begin behind the sign before it, so each stretch is looked at twice.
     """
     p, at = _compiled(), 0
-    while run := p["address"].search(text, at):
-        sign = p["at"].search(text, *run.span())
-        named = sign["plain"] and p["address"].match(text, sign.end())
-        if named and _disguised(named[0]) or not _disguised(run[0]):
-            at = sign.end()
-        else:
-            yield run.span()
-            at = run.end()
+    signs = [(*_spread(text, core), core["plain"]) for core in p["core"].finditer(text)]
+    spans = []
+    behind = 0
+    for a, b, plain in signs:
+        chain = None
+        for chain in p["chain"].finditer(text, behind, a):
+            pass
+        domain = p["domain"].match(text, b)
+        whole = chain is not None and chain.end() == a and domain
+        spans.append((chain.start(), domain.end()) if whole else None)
+        behind = b
+    for n, ((_, b, plain), span) in enumerate(zip(signs, spans, strict=True)):
+        if span is None or span[0] < at:
+            continue
+        following = spans[n + 1] if n + 1 < len(spans) else None
+        named = plain and following and following[0] == b and _disguised(text[slice(*following)])
+        if not named and _disguised(text[slice(*span)]):
+            yield span
+            at = span[1]
 
 
 def _disguised(run: str) -> bool:
@@ -268,11 +344,13 @@ def _rewritings(text: str) -> Iterator[Rewritten]:
     odd, spelled, signs = _suspects(text)
     if not (odd or spelled or signs):
         return
-    table, before = characters(), None
+    table, before = str.maketrans(characters()), None
     for least in (2, 1):
         new = Rewritten(text)
         if odd:
-            new.replace([(*m.span(), table[m[0]]) for m in _compiled()["odd"].finditer(text)])
+            found = _compiled()["looks"].finditer(text)
+            new.replace([(*m.span(), m[0].translate(table)) for m in found], EACH)
+            new.replace([(*m.span(), "") for m in _compiled()["hidden"].finditer(new.text)])
             _, spelled, signs = _suspects(new.text)
         edits = _digit_edits(new.text, least) if spelled else []
         if edits == before:
@@ -281,7 +359,7 @@ def _rewritings(text: str) -> Iterator[Rewritten]:
         new.replace(edits)
         if signs:
             new.replace(_sign_edits(new.text))
-        if new.start is not None:
+        if new.edited:
             yield new
         if not spelled:
             return
@@ -292,14 +370,19 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
 
     Those of the second rewriting are added where the first found nothing.
     """
-    out = []
+    out, known = [], bytearray(len(text))
+    for kind, x, y in base:
+        known[x:y] = b"\1" * (y - x)
     for new in _rewritings(text):
-        known = [*base, *out]
+        more = []
         for kind, a, b in base_spans(new.text):
-            if any(new.touched[a:b]) or (new.end[b - 1] - new.start[a] != b - a):
+            if new.touches(a, b):
                 x, y = new.source(a, b)
-                if not any(x < e and s < y for _, s, e in known):
-                    out.append((kind, x, y))
+                if known.find(1, x, y) < 0:
+                    more.append((kind, x, y))
+        for kind, x, y in more:
+            known[x:y] = b"\1" * (y - x)
+        out += more
     return out
 
 
@@ -349,7 +432,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [find(t) for t in batch.column("text").to_pylist()]
             counts = [[sum(k == kind for k, _, _ in base) for base, _ in rows] for kind in KINDS]
             yield pa.RecordBatch.from_arrays(
@@ -372,10 +455,13 @@ def without_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Other columns stay as they are; a NULL text stays NULL.
     """
 
-    @F.pandas_udf("string")
-    def cleaned(text):
-        import pandas as pd
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    place = rows.columns.index(text_col)
 
-        return pd.Series([t if t is None else redact(t, find(t)[1]) for t in text], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            texts = batch.column(place).to_pylist()
+            clean = pa.array([t if t is None else redact(t, find(t)[1]) for t in texts], pa.string())
+            yield batch.set_column(place, batch.schema.names[place], clean)
 
-    return docs.withColumn(text_col, cleaned(F.col(text_col).cast("string")))
+    return rows.mapInArrow(run, rows.schema)
