@@ -187,11 +187,12 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     dealt = plain.repartitionByRange(partitions(plain), "doc_id").sortWithinPartitions("doc_id", "text")
     table = staged(dealt.mapInArrow(_to_arrow(_inside), STAGED), "fingerprints")
     ends = Window.orderBy("part")
-    firsts = table.where("kind = 'first'").select("part", "text")
+    firsts = table.where("kind = 'first'").select("part", F.col("text").alias("following"))
     whole = ends.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = firsts.select(
-        "part", F.coalesce(F.lead("text").over(ends), F.first("text").over(whole)).alias("following")
-    )
+    # one number for each range is ordered; the texts meet their neighbours by it
+    after = F.coalesce(F.lead("part").over(ends), F.first("part").over(whole)).alias("after")
+    order = firsts.select("part").select("part", after)
+    following = order.join(firsts.withColumnRenamed("part", "after"), "after").select("part", "following")
     rest = (
         table.where("kind = 'last'")
         .select("doc_id", "text", "part")

@@ -245,7 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Additive:
             )
 
     found = chosen.select("doc_id", "y", "text").mapInArrow(measure, "doc_id long, y int, x array<double>")
-    got = sorted(found.dropDuplicates(["doc_id"]).limit(rows).collect(), key=lambda r: r.doc_id)
+    # of a repeated id the least features, whatever order the rows come in; at most ``rows`` ids
+    once = found.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
+    got = sorted(once.collect(), key=lambda r: r.doc_id)
     x = np.array([r.x for r in got], float).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r.y for r in got], float))
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidefunnel.llm.common import free_name
 from tidefunnel.operators.tables import staged
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -163,20 +164,20 @@ def sampled(docs: DataFrame, **options) -> DataFrame:
     cells = _labelled(docs, options.get("id_col", "doc_id"), options.get("text_col", "text"))
     cells = staged(cells.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
     raked = rake(cells, **{k: v for k, v in options.items() if k in ("targets", "budget", "rounds")})
+    values = {
+        "source": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        "lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
+        "topic": topic(text),
+    }
+    name = {d: free_name(f"cell_{d}", docs.columns) for d in (*DIMENSIONS, "probability")}
     rates = raked.select(
-        *(F.col(d).alias(f"_{d}") for d in DIMENSIONS),
-        (F.col("weight") / F.col("n_tokens")).alias("_probability"),
-    )
-    marked = docs.withColumns(
-        {
-            "_source_of": F.coalesce(F.col("source").cast("string"), F.lit("")),
-            "_lang_of": F.coalesce(F.col("lang").cast("string"), F.lit("")),
-            "_topic_of": topic(text),
-        }
+        *(F.col(d).alias(name[d]) for d in DIMENSIONS),
+        (F.col("weight") / F.col("n_tokens")).alias(name["probability"]),
     )
-    same = [F.col(f"_{d}_of") == F.col(f"_{d}") for d in DIMENSIONS]
+    marked = docs.withColumns({name[d]: values[d] for d in DIMENSIONS})
     draw = uniform(F.col(options.get("id_col", "doc_id")).cast("long"))
-    return marked.join(rates, same[0] & same[1] & same[2]).where(draw < F.col("_probability")).select(*docs.columns)
+    stays = marked.join(rates, [name[d] for d in DIMENSIONS]).where(draw < F.col(name["probability"]))
+    return stays.select(*docs.columns)
 
 
 # --- the same for DuckDB -------------------------------------------------------

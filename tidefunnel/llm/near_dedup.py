@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidefunnel.llm import sketch as fast
 from tidefunnel.llm import words
-from tidefunnel.llm.common import documents
+from tidefunnel.llm.common import documents, free_name
 from tidefunnel.llm.components import components
 from tidefunnel.operators.tables import staged
 
@@ -343,8 +343,9 @@ def near_duplicates(
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their class; rows that share an id stay together."""
     gone = near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id").distinct()
-    gone = gone.withColumnRenamed("doc_id", "_gone")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    name = free_name("gone", docs.columns)
+    gone = gone.withColumnRenamed("doc_id", name)
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(name), "left_anti")
 
 
 # --- the same for DuckDB -------------------------------------------------------
