@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefunnel.llm.common import documents, partitions
+from tidefunnel.llm.common import documents, partitions, small_batches
 from tidefunnel.llm.words import K, mix
 from tidefunnel.operators.tables import staged
 from tidefunnel.session import work_folder
@@ -39,6 +39,7 @@ END = 1  # the id behind each document
 GAMMA = 2.0
 KEYS = 2048
 CACHE = 1 << 18  # encoded words of one generation; a task keeps two
+LEARNED = 4096  # new words that are encoded as one text
 FLUSH = 1 << 22  # bytes of ids that a task gathers before it writes
 MANIFEST = "doc_id long, copy long, file int, offset long, count long"
 INDEX = (
@@ -50,11 +51,11 @@ INDEX = (
 
 # Between an ASCII letter and an ASCII mark other than the apostrophe, the splitting of
 # the vocabulary always ends a piece, as it does at white space.
-EDGE = rb"([a-z])([!-&(-/:-@\[-`{-~])"
+EDGE = rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])"
 
 
-def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
-    """text -> its ids as bytes; words that were met before come from a cache.
+def word_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+    """texts -> the ids of each as bytes; words that were met before come from a cache.
 
     The vocabulary lower-cases and drops white space, so a text's ids are those of
     its words one after the other, and a word's those of its pieces.  Texts with
@@ -91,10 +92,10 @@ def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
         except UnicodeEncodeError:
             return bool(marks.search(text))
 
-    def recall(pieces) -> list[bytes]:
-        """Pieces that neither generation knows; those of the older one move over."""
+    def recall(words: set[bytes]) -> list[bytes]:
+        """Words that the older generation does not know either; those that it knows move over."""
         new = []
-        for w in set(pieces).difference(known):
+        for w in words:
             if (ids := older.get(w)) is None:
                 new.append(w)
             else:
@@ -103,30 +104,34 @@ def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
 
     def learn(new: list[bytes]) -> None:
         """Words of letters have one word end each, so many are encoded as one text."""
-        words = [w.decode() for w in new]
-        letters = [w for w in words if w.isalpha()]
-        ids = np.frombuffer(plain([" ".join(letters)])[0], kind)
-        cuts = np.flatnonzero(ends[ids]) + 1
-        if len(cuts) == len(letters):
-            raw, a = ids.tobytes(), 0
-            for w, b in zip(letters, (cuts * width).tolist(), strict=True):
-                known[w.encode()] = raw[a:b]
-                a = b
-        rest = [w for w in words if w.encode() not in known]
-        known.update(zip((w.encode() for w in rest), plain(rest), strict=True))
-
-    def encode(text: str) -> bytes:
+        for at in range(0, len(new), LEARNED):
+            letters, rest = [], []
+            for w in new[at : at + LEARNED]:
+                alone = w.isalpha() if w.isascii() else w.decode().isalpha()
+                (letters if alone else rest).append(w)
+            ids = np.frombuffer(plain([b" ".join(letters).decode()])[0], kind)
+            cuts = (np.flatnonzero(ends[ids]) + 1) * width
+            if len(cuts) == len(letters):
+                raw, a = ids.tobytes(), 0
+                for w, b in zip(letters, cuts.tolist(), strict=True):
+                    known[w] = raw[a:b]
+                    a = b
+            else:
+                rest += letters
+            known.update(zip(rest, plain([w.decode() for w in rest]), strict=True))
+
+    def encode(texts: list[str]) -> list[bytes]:
         nonlocal known, older
-        if as_it_stands(text):
-            return plain([text])[0]
-        words = text.encode().lower().split()
-        if new := recall(words):
-            cut = {w: edge.sub(rb"\1 \2", w).split() for w in new}
-            if parts := recall(p for own in cut.values() for p in own):
-                learn(parts)
-            for w, own in cut.items():
-                known[w] = b"".join(map(known.__getitem__, own))
-        out = b"".join(map(known.__getitem__, words))
+        cut = [None if as_it_stands(t) else edge.sub(b" ", t.encode().lower()).split() for t in texts]
+        met: set[bytes] = set()
+        for words in cut:
+            met.update(words or ())
+        if new := recall(met.difference(known)):
+            learn(new)
+        out = [
+            plain([t])[0] if words is None else b"".join(map(known.__getitem__, words))
+            for t, words in zip(texts, cut, strict=True)
+        ]
         if len(known) > CACHE:
             known, older = {}, known
         return out
@@ -148,12 +153,13 @@ def _writer(folder: str, path: str, width: int):
         fs, base = FileSystem.from_uri(folder)
         draft, out, at = f"{base}/.draft-{file:08d}-{task.taskAttemptId()}", None, 0
         last, copy, waiting, size = (), 0, [], 0
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = []
-            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+            found = encode(batch.column("text").to_pylist())
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 copy = copy + 1 if (doc,) == last else 0
                 last = (doc,)
-                ids = encode(text) + end
+                ids += end
                 rows.append((doc, copy, file, at, len(ids) // width))
                 at += len(ids)
                 size += len(ids)
