@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefunnel.llm.common import documents
+from tidefunnel.llm.common import documents, small_batches
 
 ROWS = 2000
 SYMBOLS = b"#*$%&|<>"
@@ -128,9 +128,13 @@ def costs(sample: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[tuple[st
 
 
 def sampled(docs: DataFrame, rows: int = ROWS) -> DataFrame:
-    """The ``rows`` documents of least id hash, found by their ids before any text moves."""
-    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).distinct()
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``rows`` ids
+    """The ``rows`` documents of least id hash, found by their ids before any text moves.
+
+    An id counts once, however many rows share it, and one of its rows is taken.
+    """
+    ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    found = docs.join(F.broadcast(ids), "doc_id", "left_semi")  # at most ``rows`` ids
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
 def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = ROWS) -> list[str]:
@@ -179,13 +183,14 @@ def passing(
     by = {r.name: r for r in rules}
     ordered = [by[name] for name in order]
 
-    @F.pandas_udf("boolean")
-    def kept(text):
-        import pandas as pd
+    place = docs.columns.index(text_col)
 
-        return pd.Series(cascade([(t or "").encode() for t in text], ordered))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            texts = batch.column(place).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array(cascade([(t or "").encode() for t in texts], ordered)))
 
-    return docs.where(kept(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return docs.mapInArrow(run, docs.schema)
 
 
 # --- the same for DuckDB -------------------------------------------------------

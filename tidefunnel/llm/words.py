@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 K = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE = 5
 
