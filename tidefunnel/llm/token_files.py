@@ -54,7 +54,13 @@ INDEX = (
 EDGE = rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])"
 
 
-def word_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
+    """text -> its ids as bytes, as :func:`group_encoder` gives them."""
+    encode = group_encoder(path, width)
+    return lambda text: encode([text])[0]
+
+
+def group_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
     """texts -> the ids of each as bytes; words that were met before come from a cache.
 
     The vocabulary lower-cases and drops white space, so a text's ids are those of
@@ -148,7 +154,7 @@ def _writer(folder: str, path: str, width: int):
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        file, encode = task.partitionId(), word_encoder(path, width)
+        file, encode = task.partitionId(), group_encoder(path, width)
         end = END.to_bytes(width, "little")
         fs, base = FileSystem.from_uri(folder)
         draft, out, at = f"{base}/.draft-{file:08d}-{task.taskAttemptId()}", None, 0
