@@ -91,13 +91,17 @@ SQL |= {
     "upsert_emails_stored": SQL["upsert_emails"],
     "upsert_embeddings_stored": SQL["upsert_embeddings"],
     "merge_customers_stored": """
-        SELECT CAST(id AS VARCHAR) AS id, email, 'kp_' || CAST(id AS VARCHAR) AS klaviyo_profile_id,
-               CAST(total_orders AS BIGINT) AS total_orders
-        FROM customers
-        UNION ALL
-        SELECT md5('friend' || CAST(id AS VARCHAR) || '@example.com'),
-               'friend' || CAST(id AS VARCHAR) || '@example.com', 'kp_r' || CAST(id AS VARCHAR), NULL
-        FROM referrals""",
+        WITH synced AS (
+          SELECT email, 'kp_' || CAST(id AS VARCHAR) AS kp FROM klaviyo_profiles
+          UNION ALL SELECT 'friend' || CAST(id AS VARCHAR) || '@example.com', 'kp_r' || CAST(id AS VARCHAR)
+          FROM referrals),
+        latest AS (SELECT email, max(kp) AS kp FROM synced WHERE email IS NOT NULL GROUP BY email)
+        SELECT CAST(c.id AS VARCHAR) AS id, c.email, l.kp AS klaviyo_profile_id,
+               CAST(c.total_orders AS BIGINT) AS total_orders
+        FROM customers c LEFT JOIN latest l ON l.email = c.email
+        UNION ALL SELECT md5(email), email, kp, NULL FROM latest
+        WHERE email NOT IN (SELECT email FROM customers WHERE email IS NOT NULL)
+        UNION ALL SELECT NULL, NULL, kp, NULL FROM synced WHERE email IS NULL""",
     "orders_change_feed": """
         SELECT 1 AS version, 'update' AS change, shopify_order_id, 'paid' AS financial_status
         FROM shopify_orders WHERE financial_status <> 'paid'
