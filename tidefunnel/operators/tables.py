@@ -66,6 +66,12 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return fs.exists(path)
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, path = _file_system(spark, folder)
+    return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
     """Remove partitions that have no rows any more."""
     for folder in folders:

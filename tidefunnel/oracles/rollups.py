@@ -14,6 +14,7 @@ LAST_WEEK = "date BETWEEN :as_of - 7 AND :as_of - 1"
 
 SQL = {
     "replace_day": f"WITH {ACQ_DAILY} SELECT * FROM acq_daily",
+    "refresh_advocacy_days": f"WITH {advocacy.DAILY} SELECT * FROM advocacy WHERE date >= :as_of - 2",
     "replace_all_cohorts": f"WITH {COHORTS} SELECT * FROM cohorts",
     "backfill_range": f"WITH {DAILY} SELECT * FROM consideration",
     "backfill_acquisition": f"WITH {ACQ_DAILY} SELECT * FROM acq_daily WHERE date IS NOT NULL",

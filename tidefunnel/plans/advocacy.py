@@ -23,9 +23,10 @@ from tidefunnel.functions.exprs import (
     rounded,
     tagged_vip,
 )
-from tidefunnel.operators.calendar import running_totals
+from tidefunnel.operators.calendar import days_between, running_totals
 from tidefunnel.operators.combine import stack_sum
 from tidefunnel.operators.gaps import order_days
+from tidefunnel.operators.ledger import DayLedger
 from tidefunnel.plans.commerce import buyers, paid_orders
 from tidefunnel.plans.consideration import is_event, percent
 from tidefunnel.plans.retention import EVER, days_before, default_calendar
@@ -150,7 +151,7 @@ def post_purchase_mails(wh: Warehouse, start: Date = None, end: Date = None) ->
         .join(people, "customer_id", "left_semi")
     )
     around = (
-        order_days(paid_orders(wh))
+        order_days(paid_orders(wh).where(in_days("order_date", start and days_before(start, 7), end)))
         .select(
             "customer_id",
             "first_at",
@@ -197,31 +198,38 @@ def post_purchase_email_ctr(wh: Warehouse, start: Date = None, end: Date = None)
 # --- daily rollup -------------------------------------------------------------------
 
 
-def _people_changes(wh: Warehouse) -> DataFrame:
+FIRST_ACTS = ("ugc_people", "social_people", "review_people")
+
+
+def _acts(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
+    """Acts of customers (id); each kind's column holds the day of the act."""
+    created, social = day("created_at"), F.col("platform").isin(*SOCIAL_PLATFORMS)
+    ugc, reviews = [
+        wh.table(name).where(in_days("created_at", start, end)) for name in ("ugc_submissions", "reviews")
+    ]
+    return ugc.select(
+        F.col("customer_id").alias("id"),
+        created.alias("ugc_people"),
+        F.when(social, created).alias("social_people"),
+    ).unionByName(
+        reviews.select(F.col("customer_id").alias("id"), created.alias("review_people")), allowMissingColumns=True
+    )
+
+
+def _people_changes(wh: Warehouse, acts: DataFrame) -> DataFrame:
     """Headcounts per day: people on the day of their first act, others always.
 
     The running total of first acts is the number of distinct people so far.
     All acts meet the customers in one join.
     """
-    ugc, created = wh.table("ugc_submissions"), day("created_at")
-    social = F.col("platform").isin(*SOCIAL_PLATFORMS)
-    acts = [
-        ugc.select(
-            F.col("customer_id").alias("id"),
-            created.alias("ugc_people"),
-            F.when(social, created).alias("social_people"),
-        ),
-        wh.table("reviews").select(F.col("customer_id").alias("id"), created.alias("review_people")),
-        wh.table("loyalty_enrollments").select(
-            F.col("customer_id").alias("id"),
-            F.lit(EVER).alias("member_buyers"),
-            (F.col("loyalty_tier") == "vip").alias("vip_tier"),
-        ),
-    ]
-    firsts = ["ugc_people", "social_people", "review_people", "member_buyers"]
+    members = wh.table("loyalty_enrollments").select(
+        F.col("customer_id").alias("id"),
+        F.lit(EVER).alias("member_buyers"),
+        (F.col("loyalty_tier") == "vip").alias("vip_tier"),
+    )
+    firsts = [*FIRST_ACTS, "member_buyers"]
     per_person = (
-        acts[0].unionByName(acts[1], allowMissingColumns=True)
-        .unionByName(acts[2], allowMissingColumns=True)
+        acts.unionByName(members, allowMissingColumns=True)
         .where("id is not null")
         .groupBy("id")
         .agg(*[F.min(c).alias(c) for c in firsts], F.max("vip_tier").alias("vip_tier"))
@@ -248,45 +256,38 @@ def _people_changes(wh: Warehouse) -> DataFrame:
     )
 
 
-def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) -> DataFrame:
-    """One row per calendar day; every figure is cumulative up to that day.
-
-    Each fact table is counted per day once and summed along the calendar.
-    Loyalty and VIP headcounts carry no date and are those of now.
-    """
-    calendar = default_calendar(wh) if calendar is None else calendar
+def _fact_changes(wh: Warehouse, start: Date = None, end: Date = None) -> list[DataFrame]:
+    """What the rows of each day add, whoever they belong to."""
     score, created = F.col("nps_score"), day("created_at").alias("date")
-    ugc = wh.table("ugc_submissions")
     social = F.col("platform").isin(*SOCIAL_PLATFORMS)
-    parts = [
-        wh.table("nps_surveys").groupBy(F.col("survey_date").alias("date")).agg(
+
+    def made(name: str) -> DataFrame:
+        return wh.table(name).where(in_days("created_at", start, end))
+
+    surveys = wh.table("nps_surveys").where(in_dates("survey_date", start, end))
+    return [
+        surveys.groupBy(F.col("survey_date").alias("date")).agg(
             F.count("*").alias("responses"),
             F.count_if(score >= 9).alias("promoters"),
             F.count_if(score.between(7, 8)).alias("passives"),
             F.count_if(score <= 6).alias("detractors"),
             F.count(score).alias("scored"),
         ),
-        wh.table("referrals").groupBy(created).agg(
+        made("referrals").groupBy(created).agg(
             F.count("*").alias("referrals"),
             F.count_if(F.col("referral_status") == "converted").alias("converted"),
         ),
-        ugc.groupBy(created).agg(
+        made("ugc_submissions").groupBy(created).agg(
             F.count("*").alias("ugc"),
             F.count_if(F.col("status") == "approved").alias("ugc_ok"),
             F.count_if(social).alias("social"),
         ),
-        wh.table("reviews").groupBy(created).agg(
+        made("reviews").groupBy(created).agg(
             F.count("*").alias("reviews"),
             F.sum("rating").alias("rating_sum"),
             F.count("rating").alias("rating_n"),
         ),
-        _people_changes(wh),
-        _revenue_with_vip(
-            wh,
-            paid_orders(wh).select("customer_id", "total_price", day("order_date").alias("date")),
-            ["date"],
-        ),
-        post_purchase_mails(wh).groupBy("date").agg(
+        post_purchase_mails(wh, start, end).groupBy("date").agg(
             F.count_if(is_event(SENT)).alias("sent"),
             F.count_if(is_event(OPENED)).alias("opened"),
             F.count_if(is_event(CLICKED)).alias("clicked"),
@@ -294,10 +295,39 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
             _purchase_days(OPENED).alias("opened_days"),
             _purchase_days(CLICKED).alias("clicked_days"),
         ),
-        wh.table("loyalty_enrollments").agg(F.count("*").alias("members")).select(
-            F.lit(EVER).alias("date"), "*"
-        ),
     ]
+
+
+def _dated_orders(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
+    orders = paid_orders(wh).where(in_days("order_date", start, end))
+    return orders.select("customer_id", "total_price", day("order_date").alias("date"))
+
+
+def _members(wh: Warehouse) -> DataFrame:
+    return wh.table("loyalty_enrollments").agg(F.count("*").alias("members")).select(
+        F.lit(EVER).alias("date"), "*"
+    )
+
+
+def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) -> DataFrame:
+    """One row per calendar day; every figure is cumulative up to that day.
+
+    Each fact table is counted per day once and summed along the calendar.
+    Loyalty and VIP headcounts carry no date and are those of now.
+    """
+    calendar = default_calendar(wh) if calendar is None else calendar
+    return _figures(
+        calendar,
+        [
+            *_fact_changes(wh),
+            _people_changes(wh, _acts(wh)),
+            _revenue_with_vip(wh, _dated_orders(wh), ["date"]),
+            _members(wh),
+        ],
+    )
+
+
+def _figures(calendar: DataFrame, parts: list[DataFrame]) -> DataFrame:
     measures = [c for part in parts for c in part.columns if c != "date"]
     totals = running_totals(calendar, stack_sum(["date"], parts, measures), measures)
     return totals.select(
@@ -332,6 +362,72 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
     )
 
 
+# --- refresh from stored days ----------------------------------------------------------
+
+
+def day_changes(wh: Warehouse, start: Date, end: Date) -> tuple[DataFrame, DataFrame]:
+    """What the days in [start, end] add: one row per day, and one per customer and day."""
+    revenue = _dated_orders(wh, start, end)
+    parts = [
+        *_fact_changes(wh, start, end),
+        revenue.groupBy("date").agg(F.sum("total_price").alias("revenue")),
+    ]
+    measures = [c for part in parts for c in part.columns if c != "date"]
+    facts = stack_sum(["date"], parts, measures).where("date is not null")
+    spent = revenue.select(F.col("customer_id").alias("id"), "date", F.col("total_price").alias("spent"))
+    acts = _acts(wh, start, end)
+    dated = acts.withColumn("date", F.coalesce("ugc_people", "review_people"))
+    people = (
+        dated.unionByName(spent, allowMissingColumns=True)
+        .where("id is not null and date is not null")
+        .groupBy("id", "date")
+        .agg(*[F.min(c).alias(c) for c in FIRST_ACTS], F.sum("spent").alias("spent"))
+    )
+    return facts, people
+
+
+def ledger(wh: Warehouse, root: str) -> DayLedger:
+    facts, people = day_changes(wh, wh.as_of, wh.as_of)
+    merge = {**dict.fromkeys(FIRST_ACTS, F.min), "spent": F.sum}
+    return DayLedger(wh.spark, root, facts.schema, people.schema, "id", merge)
+
+
+def advocacy_from_ledger(wh: Warehouse, days: DayLedger, start: dt.date, end: dt.date) -> DataFrame:
+    """The rollup of [start, end] from stored days, a checkpoint and the customers of now."""
+    facts, people = days.changes(start, end)
+    spent = people.select(F.col("id").alias("customer_id"), F.col("spent").alias("total_price"), "date")
+    return _figures(
+        days_between(wh.spark, start, end),
+        [
+            facts,
+            _people_changes(wh, people.select("id", *FIRST_ACTS)),
+            _revenue_with_vip(wh, spent, ["date"]).select("date", "vip_revenue"),
+            _members(wh),
+        ],
+    )
+
+
+def refresh_advocacy(
+    wh: Warehouse, days: DayLedger, start: dt.date, end: dt.date, every: int = 7
+) -> DataFrame:
+    """Read the facts of [start, end] and return the rollup rows that follow from them.
+
+    Those are the rows from ``start`` to the newest stored day: a late row moves every
+    total behind it, which the stored days give without their facts.  A late order also
+    counts for mails of the week after it, so mails of those days are read again.  A row
+    that changes later (an order refunded, a referral converted) is a late row of its
+    day.  A checkpoint is added when the newest is ``every`` days old.
+    """
+    last = max([end, *days.recorded()])
+    through = min(end + dt.timedelta(days=7), last)
+    days.record(*day_changes(wh, start, through), start, through)
+    before = days_before(start, 1)
+    newest = max(c for c in days.checkpoints() if c <= before)
+    if (before - newest).days >= every:
+        days.checkpoint(before)
+    return advocacy_from_ledger(wh, days, start, last)
+
+
 # --- customer level and summaries -----------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from tidefunnel.functions.exprs import in_dates
 from tidefunnel.operators.calendar import days_between, session_days, source_range
 from tidefunnel.operators.tables import read_table, replace_all, replace_days
 from tidefunnel.plans.acquisition import acquisition_metrics_daily, traffic_source_metrics_daily
-from tidefunnel.plans.advocacy import advocacy_metrics_daily
+from tidefunnel.plans.advocacy import advocacy_metrics_daily, day_changes, ledger, refresh_advocacy
 from tidefunnel.plans.commerce import (
     campaign_performance_daily,
     customer_metrics_daily,
@@ -121,6 +121,19 @@ def replace_day(wh: Warehouse) -> DataFrame:
     return refresh_day(wh, "acquisition_metrics_daily", root)
 
 
+def refresh_advocacy_days(wh: Warehouse) -> DataFrame:
+    """Store history up to three days ago, then extend the advocacy rollup day by day."""
+    root = work_folder(wh.spark, "advocacy-days")
+    days, path = ledger(wh, f"{root}/ledger"), f"{root}/advocacy_metrics_daily"
+    past = wh.as_of - dt.timedelta(days=3)
+    days.begin(*day_changes(wh, None, past), past)
+    for ago in (2, 1, 0):
+        day = wh.as_of - dt.timedelta(days=ago)
+        rows = refresh_advocacy(wh, days, day, day, every=1)
+        replace_days(rows, path, [day])
+    return read_table(wh.spark, path, rows)
+
+
 def replace_all_cohorts(wh: Warehouse) -> DataFrame:
     root = work_folder(wh.spark, "cohorts")
     rebuild_cohorts(wh, root)
@@ -164,6 +177,7 @@ def backfill_session_dates(wh: Warehouse) -> DataFrame:
 
 for _key, _fn in {
     "replace_day": replace_day,
+    "refresh_advocacy_days": refresh_advocacy_days,
     "replace_all_cohorts": replace_all_cohorts,
     "backfill_range": _backfill("consideration_metrics_daily", _event_days),
     "backfill_acquisition": _backfill("acquisition_metrics_daily", _ad_days),
