@@ -111,6 +111,29 @@ def test_gap_first_seen(purchases):
     assert {r.gap: r.since for r in gaps.gap_first_seen(days).collect()} == want
 
 
+def test_gaps_of_dense_and_old_histories(spark):
+    r = random.Random(3)
+    base = dt.date(1965, 12, 30)  # days before 1970 have negative numbers
+    held = {1: set(range(3000)), 2: {0, 2999}, 3: {64 * i for i in range(40)}, 4: {5}}
+    held[5] = {r.randrange(700) for _ in range(60)}
+    rows = [
+        (c, base + dt.timedelta(days=d), dt.datetime(2000, 1, 1), dt.datetime(2000, 1, 1 + (c == 4)))
+        for c, ds in held.items() for d in ds
+    ]
+    days = spark.createDataFrame(rows, "customer_id int, date date, first_at timestamp_ntz, last_at timestamp_ntz")
+    means = {row.customer_id: row.mean_gap for row in gaps.mean_distinct_gap(days).collect()}
+    since: dict[int, dt.date] = {0: base + dt.timedelta(days=5)}
+    for c, ds in held.items():
+        found = {b - a for a in ds for b in ds if b > a} | ({0} if c == 4 else set())
+        assert means[c] == pytest.approx(statistics.mean(found))
+        for a in ds:
+            for b in ds:
+                if b > a:
+                    start = base + dt.timedelta(days=a)
+                    since[b - a] = min(start, since.get(b - a, dt.date.max))
+    assert {row.gap: row.since for row in gaps.gap_first_seen(days).collect()} == since
+
+
 def test_running_totals_cover_calendar_days_without_changes(spark):
     calendar = spark.createDataFrame([(D(2024, 1, 2),), (D(2024, 1, 5),)], "date date")
     changes = spark.createDataFrame(

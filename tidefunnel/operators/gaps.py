@@ -34,25 +34,113 @@ def shortest_gaps(days: DataFrame) -> DataFrame:
     )
 
 
-def _later_gaps(days: Column, d: Column) -> Column:
-    return F.transform(F.filter(days, lambda e: e > d), lambda e: e - d)
+FEW = 16  # up to so many days the pairs are listed, which is cheaper than bitmaps
+WORD = 63  # days of a bitmap word; the sign bit stays clear
+NO_WORDS = "array<bigint>"
+
+
+def _zero(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0).cast("long"))
+
+
+def _word(d: Column) -> Column:
+    return F.floor(d / WORD).cast("int")
+
+
+def _bit(d: Column) -> Column:
+    return F.pmod(d, F.lit(WORD))
+
+
+def _day_bits(days: Column) -> Column:
+    """Bitmap of sorted days: words of 63 days from the word of the first to that of the last."""
+    one = F.lit(1).cast("long")
+
+    def word(w: Column) -> Column:
+        own = F.filter(days, lambda d: _word(d) == w)
+        return F.aggregate(
+            own, F.lit(0).cast("long"), lambda bits, d: bits.bitwiseOR(F.call_function("shiftleft", one, _bit(d)))
+        )
+
+    return F.transform(F.sequence(_word(F.get(days, F.lit(0))), _word(F.element_at(days, -1))), word)
+
+
+def _from_day(words: Column, first: Column, d: Column) -> Column:
+    """The bitmap moved so that day ``d`` is bit 0: bit g stands for a purchase g days after it."""
+    skip = _word(d) - _word(first)
+
+    def joined(low: Column, high: Column) -> Column:
+        carried = F.call_function("shiftleft", _zero(high), F.lit(WORD) - _bit(d))
+        return F.call_function("shiftright", low, _bit(d)).bitwiseOR(carried.bitwiseAND(F.lit(2**WORD - 1)))
+
+    return F.zip_with(
+        F.slice(words, skip + 1, F.size(words)), F.slice(words, skip + 2, F.size(words)), joined
+    )
+
+
+def _moved(days: Column) -> Column:
+    """Per purchase day: the day and the bitmap as seen from it."""
+    return F.flatten(
+        F.transform(
+            F.array(_day_bits(days)),  # bound once for all days
+            lambda words: F.transform(
+                days, lambda d: F.struct(d.alias("since"), _from_day(words, F.get(days, F.lit(0)), d).alias("bits"))
+            ),
+        )
+    )
+
+
+def _set_bits(words: Column) -> Column:
+    """Numbers of the set bits but bit 0 (the day itself)."""
+
+    def of_word(w: Column, i: Column) -> Column:
+        def lowest(acc: Column, _: Column) -> Column:
+            x, less = acc["left"], acc["left"] - 1
+            number = i * WORD + F.bit_count(x.bitwiseXOR(less)) - 1
+            return F.struct(
+                x.bitwiseAND(less).alias("left"), F.concat(acc["out"], F.array(number)).alias("out")
+            )
+
+        none = F.array().cast("array<int>")
+        start = F.struct(w.alias("left"), none.alias("out"))
+        steps = F.sequence(F.lit(1), F.bit_count(w))
+        return F.when(w == 0, none).otherwise(F.aggregate(steps, start, lowest, lambda acc: acc["out"]))
+
+    return F.filter(F.flatten(F.transform(words, of_word)), lambda g: g > 0)
+
+
+def _listed(days: Column) -> Column:
+    """(since, gap) of all pairs of a few days."""
+    return F.flatten(
+        F.transform(
+            days,
+            lambda d: F.transform(
+                F.filter(days, lambda e: e > d), lambda e: F.struct(d.alias("since"), (e - d).alias("gap"))
+            ),
+        )
+    )
+
+
+def _days_per_customer(days: DataFrame, *aggs: Column) -> DataFrame:
+    return days.groupBy("customer_id").agg(
+        F.sort_array(F.collect_set(F.unix_date("date"))).alias("days"), *aggs
+    )
 
 
 def mean_distinct_gap(days: DataFrame) -> DataFrame:
     """Per customer: mean of the distinct day gaps over all pairs of orders.
 
-    The gaps are gathered inside the customer's row as a set, which holds at
-    most one entry per day of history.
+    A customer's days are a bitmap; the bitmaps as seen from each of the days, put
+    together by OR, hold the gaps, 63 of them in a step.
     """
-    per_customer = days.groupBy("customer_id").agg(
-        F.sort_array(F.collect_set(F.unix_date("date"))).alias("days"),
-        F.max(F.col("first_at") < F.col("last_at")).alias("same_day"),
-    )
-    none = F.array().cast("array<int>")
-    start = F.when(F.col("same_day"), F.array(F.lit(0))).otherwise(none)
-    gaps = F.aggregate(
-        "days", start, lambda seen, d: F.array_union(seen, _later_gaps(F.col("days"), d))
+    per_customer = _days_per_customer(days, F.max(F.col("first_at") < F.col("last_at")).alias("same_day"))
+    held = F.aggregate(
+        _moved(F.col("days")),
+        F.array().cast(NO_WORDS),
+        lambda seen, m: F.zip_with(seen, m["bits"], lambda x, y: _zero(x).bitwiseOR(_zero(y))),
     )
+    pairs = F.array_distinct(F.transform(_listed(F.col("days")), lambda p: p["gap"]))
+    apart = F.when(F.size("days") > FEW, _set_bits(held)).otherwise(pairs)
+    gaps = F.when(F.col("same_day"), F.concat(F.array(F.lit(0)), apart)).otherwise(apart)
     total = F.aggregate("gaps", F.lit(0).cast("long"), lambda acc, g: acc + g)
     return per_customer.select("customer_id", gaps.alias("gaps")).select(
         "customer_id",
@@ -63,28 +151,31 @@ def mean_distinct_gap(days: DataFrame) -> DataFrame:
 def gap_first_seen(days: DataFrame) -> DataFrame:
     """Each distinct gap over all customers, with the earliest day it starts on.
 
-    Walking through a customer's days in order, only gaps not met before are
-    kept, so a customer contributes each gap once; the result has at most one
-    row per day of history.
+    Walking through a customer's days in order, only bits not met before are
+    listed, so a customer of many days contributes each gap once; the result has
+    at most one row per day of history.
     """
-    per_customer = days.groupBy("customer_id").agg(
-        F.sort_array(F.collect_set(F.unix_date("date"))).alias("days")
-    )
     empty = F.struct(
-        F.array().cast("array<int>").alias("seen"),
-        F.array().cast("array<struct<since:int,gaps:array<int>>>").alias("out"),
+        F.array().cast(NO_WORDS).alias("seen"),
+        F.array().cast("array<struct<since:int,gap:int>>").alias("out"),
     )
 
-    def step(acc: Column, d: Column) -> Column:
-        fresh = F.array_except(_later_gaps(F.col("days"), d), acc["seen"])
+    def step(acc: Column, m: Column) -> Column:
+        fresh = F.zip_with(m["bits"], acc["seen"], lambda x, y: _zero(x).bitwiseAND(F.bitwise_not(_zero(y))))
         return F.struct(
-            F.concat(acc["seen"], fresh).alias("seen"),
-            F.concat(acc["out"], F.array(F.struct(d.alias("since"), fresh.alias("gaps")))).alias("out"),
+            F.zip_with(acc["seen"], m["bits"], lambda x, y: _zero(x).bitwiseOR(_zero(y))).alias("seen"),
+            F.concat(
+                acc["out"],
+                F.transform(_set_bits(fresh), lambda g: F.struct(m["since"].alias("since"), g.alias("gap"))),
+            ).alias("out"),
         )
 
+    met = F.aggregate(_moved(F.col("days")), empty, step, lambda a: a["out"])
     spread = (
-        per_customer.select(F.explode(F.aggregate("days", empty, step, lambda a: a["out"])).alias("o"))
-        .select(F.date_from_unix_date("o.since").alias("since"), F.explode("o.gaps").alias("gap"))
+        _days_per_customer(days)
+        .where(F.size("days") > 1)
+        .select(F.explode(F.when(F.size("days") > FEW, met).otherwise(_listed(F.col("days")))).alias("o"))
+        .select(F.date_from_unix_date("o.since").alias("since"), F.col("o.gap").alias("gap"))
     )
     same_day = days.where("first_at < last_at").select(
         F.col("date").alias("since"), F.lit(0).alias("gap")
