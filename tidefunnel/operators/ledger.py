@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from tidefunnel.operators.tables import drop_folders, folder_names, replace_days
+from tidefunnel.operators.tables import drop_folders, folder_names, read_days, replace_days
 
 Merge = Callable[[str], Column]
 
@@ -42,13 +42,7 @@ class DayLedger:
 
     def _folder(self, name: str, part: str, days: list[dt.date]) -> DataFrame:
         """Rows of some days; their folders are named, so no others are listed."""
-        schema = _with(self.schemas[name], part)
-        path = f"{self.root}/{name}"
-        held = set(folder_names(self.spark, path))
-        wanted = [f"{path}/{part}={d}" for d in days if f"{part}={d}" in held]
-        if not wanted:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", path).parquet(*wanted)
+        return read_days(self.spark, f"{self.root}/{name}", _with(self.schemas[name], part), part, days)
 
     def _days(self, name: str, part: str) -> list[dt.date]:
         names = folder_names(self.spark, f"{self.root}/{name}")

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidefunnel.session import work_folder
 
@@ -72,6 +73,17 @@ def folder_names(spark: SparkSession, folder: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
 
 
+def read_days(
+    spark: SparkSession, path: str, schema: StructType | str, part: str, days: Iterable[dt.date]
+) -> DataFrame:
+    """Rows of some days of a table in folders by day; no other folders are listed."""
+    held = set(folder_names(spark, path))
+    wanted = [f"{path}/{part}={d}" for d in days if f"{part}={d}" in held]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*wanted)
+
+
 def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
     """Remove partitions that have no rows any more."""
     for folder in folders:

@@ -126,7 +126,24 @@ AVERAGED = [
 ]
 ALREADY_MEAN = ["avg_pages_per_session", "avg_session_duration_seconds", "avg_scroll_depth_percent"]
 
+
+
+def _rates(days: int) -> str:
+    """Session rates of the last days, from the events themselves."""
+    rows = f"(SELECT * FROM shopify_events WHERE CAST(occurred_at AS DATE) BETWEEN :as_of - {days - 1} AND :as_of)"
+    looks = sessions("'product_viewed', 'page_viewed'")
+    carts, outs = sessions("'add_to_cart'"), sessions("'checkout_started'")
+    either = sessions("'add_to_cart', 'checkout_started'")
+    return f"""
+        SELECT CAST(:as_of - {days - 1} AS DATE) AS from_date, CAST(:as_of AS DATE) AS to_date, {looks} AS sessions,
+               {div0(carts, sessions("'product_viewed'"), 4)} AS add_to_cart_rate,
+               {div0(f"({either} - {outs})", carts, 4)} AS cart_abandonment_rate,
+               {div0(sessions("'add_to_wishlist'"), looks, 4)} AS wishlist_add_rate
+        FROM {rows}"""
+
+
 SQL = {
+    "session_rates_from_maps": " UNION ALL ".join(_rates(n) for n in (7, 30, 90)),
     "add_to_cart_rate": web(
         f"{div0(sessions(chr(39) + 'add_to_cart' + chr(39)), sessions(chr(39) + 'product_viewed' + chr(39)), 4)}"
         " AS add_to_cart_rate"),

@@ -26,9 +26,11 @@ from tidefunnel.functions.exprs import (
 )
 from tidefunnel.operators.calendar import source_range
 from tidefunnel.operators.combine import left_join_spread, stack_sum
+from tidefunnel.operators.daymaps import DayMaps
 from tidefunnel.operators.tables import staged
 from tidefunnel.plans.acquisition import BOUNCED, viewed_sessions
 from tidefunnel.registry import register
+from tidefunnel.session import work_folder
 from tidefunnel.sources.warehouse import Warehouse
 
 Date = dt.date | None
@@ -134,6 +136,44 @@ def cart_abandonment_rate(wh: Warehouse, start: Date = None, end: Date = None) -
     return flags.agg(ratio0(left, carts, 4).alias("cart_abandonment_rate"))
 
 
+SESSION_KINDS = (CART, WISH, "checkout_started", "product_viewed", "page_viewed")
+
+
+def session_kinds(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
+    """Input of the session bitmaps: session, kind of event and day."""
+    return web_events(wh, start, end).where(is_event(*SESSION_KINDS)).select(
+        F.col("session_id").alias("key"), F.col("event_type").alias("kind"), day("occurred_at").alias("date")
+    )
+
+
+def session_rates(maps: DayMaps, start: dt.date, end: dt.date) -> DataFrame:
+    """The session rates of [start, end] from stored bitmaps; reads no events.
+
+    Sessions with a cart and no checkout are those with either less those with a checkout.
+    """
+    checkout = "checkout_started"
+    got = maps.counts(
+        start, end, carts=(CART,), checkouts=(checkout,), either=(CART, checkout), wishes=(WISH,),
+        views=("product_viewed",), looks=("product_viewed", "page_viewed"),
+    )
+    return got.select(
+        F.lit(start).alias("from_date"),
+        F.lit(end).alias("to_date"),
+        F.col("looks").alias("sessions"),
+        ratio0("carts", "views", 4).alias("add_to_cart_rate"),
+        ratio0(F.col("either") - F.col("checkouts"), "carts", 4).alias("cart_abandonment_rate"),
+        ratio0("wishes", "looks", 4).alias("wishlist_add_rate"),
+    )
+
+
+def session_rates_from_maps(wh: Warehouse) -> DataFrame:
+    """The rates of the last 7, 30 and 90 days from the bitmaps of all days."""
+    maps = DayMaps(wh.spark, work_folder(wh.spark, "session-maps"))
+    maps.record(session_kinds(wh))
+    ranges = [session_rates(maps, wh.as_of - dt.timedelta(days=n - 1), wh.as_of) for n in (7, 30, 90)]
+    return ranges[0].union(ranges[1]).union(ranges[2])
+
+
 def product_page_bounce_rate(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     return viewed_sessions(wh, "product_viewed", start, end).agg(
         ratio0(F.count_if(F.expr(BOUNCED)), F.count("*"), 4).alias("product_page_bounce_rate")
@@ -566,6 +606,6 @@ for _fn in (
 for _fn in (
     consideration_metrics_daily, session_engagement_daily, consideration_metrics_summary,
     consideration_metrics_trends, consideration_last_7_days, cart_abandonment_last_7_days,
-    engagement_score_trend, mail_rates_trend,
+    engagement_score_trend, mail_rates_trend, session_rates_from_maps,
 ):
     register(_fn.__name__, _fn)
