@@ -428,6 +428,7 @@ def test_notices_in_blocks_of_words(spark):
             texts.append("\n".join(np.insert(np.array(words, object), more, "x")))
         texts.append(" ".join(rng.permutation(words)[1:]))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    same(licenses.license_scan(frame), licenses.license_sql(), frame.toArrow())
     got = {r.doc_id: r for r in licenses.license_scan(frame).collect()}
     assert len(got) == len(texts)
     for i, label in enumerate([*WRAPPED, *WRAPPED]):

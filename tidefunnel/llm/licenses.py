@@ -12,8 +12,8 @@ and runs on DataFrames only:
 2. The words of the templates are ordered by the number of documents that hold
    them, rarest first, over all documents.
 3. Prefix filter: a match holds one of the first |T| - need + 1 words of the template.
-   At each place of such a word, the words that the widest block around it can hold
-   are handed on, and nothing else of the text.
+   At each place of such a word, the words that the widest block of its templates
+   around it can hold are handed on, and nothing else of the text.
 4. Positional filter: the template's words near enough must suffice.  What remains is
    counted in the widest block from each of them on.
 
@@ -38,7 +38,7 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-# Notices as their authors recommend them, lower case, words only.
+# Notices and whole licence texts as their authors give them, lower case, words only.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
@@ -64,6 +64,45 @@ TEMPLATES = (
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights to this work"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("proprietary", "copyright all rights reserved no part may be reproduced without written permission"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation"
+        " the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to"
+        " permit persons to whom the software is furnished to do so subject to the following conditions the above"
+        " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+        " software the software is provided as is without warranty of any kind express or implied including but not"
+        " limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no"
+        " event shall the authors or copyright holders be liable for any claim damages or other liability whether in"
+        " an action of contract tort or otherwise arising from out of or in connection with the software or the use"
+        " or other dealings in the software",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies the"
+        " software is provided as is and the author disclaims all warranties with regard to this software including"
+        " all implied warranties of merchantability and fitness in no event shall the author be liable for any special"
+        " direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or"
+        " profits whether in an action of contract negligence or other tortious action arising out of or in connection"
+        " with the use or performance of this software",
+    ),
+    (
+        "bsd-2",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that"
+        " the following conditions are met 1 redistributions of source code must retain the above copyright notice"
+        " this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the"
+        " above copyright notice this list of conditions and the following disclaimer in the documentation and or"
+        " other materials provided with the distribution",
+    ),
+    (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with"
+        " the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required"
+        " by applicable law or agreed to in writing software distributed under the license is distributed on an as is"
+        " basis without warranties or conditions of any kind either express or implied see the license for the"
+        " specific language governing permissions and limitations under the license",
+    ),
 )
 THRESHOLD = 0.93  # of 13 words and less, all: a number or "lesser" tells notices apart
 WIDEST = 1.5  # for marks of comments and inserted words; more would gather scattered words
@@ -155,10 +194,12 @@ def template_matches(table: DataFrame) -> DataFrame:
     """(doc_id, content, label, containment) of templates and the blocks around a prefix word."""
     prefixes = _prefixes(table)
     texts = [t for _, t in TEMPLATES]
-    reach = max(map(_width, texts)) - 1
+    reaches = {w: max(_width(texts[no]) for no in nos) - 1 for w, nos in prefixes.items()}
+    of_reach = F.create_map(*(F.lit(x) for pair in reaches.items() for x in pair))
     places = F.col("places")
 
     def around(p: Column, j: Column) -> Column:
+        reach = F.element_at(of_reach, p["word"])
         first = F.greatest(j + 1 - reach, F.lit(1))
         near = F.slice(places, first, j + 2 + reach - first)
         return F.when(p["word"].isin(list(prefixes)), F.struct(p["at"].alias("at"), p["word"].alias("word"), near.alias("near")))
@@ -228,16 +269,17 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def license_sql() -> str:
-    """Every line against every template, without any filter."""
+    """The best block of every text from each place of a template word on; without the filters."""
     gap = GAP
     words = f"list_filter(regexp_split_to_array(translate(%s, '{UPPER}', '{LOWER}'), '{gap}'), lambda x: x <> '')"
     phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in BASE.items())
     templates = ", ".join(
-        f"({i}, '{label}', {_need(t)}, {list(dict.fromkeys(t.split()))})" for i, (label, t) in enumerate(TEMPLATES)
+        f"({i}, '{label}', {_need(t)}, {_width(t)}, {list(dict.fromkeys(t.split()))})"
+        for i, (label, t) in enumerate(TEMPLATES)
     )
     return f"""
     WITH phrase(p, label, n) AS (VALUES {phrases}),
-    template(no, label, need, own) AS (VALUES {templates}),
+    template(no, label, need, width, own) AS (VALUES {templates}),
     d AS (SELECT doc_id, coalesce(text, '') AS text, {words % "coalesce(text, '')"} AS w FROM documents),
     place AS (
         SELECT doc_id, label, i FROM d, phrase, unnest(range(0, len(w) - n + 1)) AS r(i)
@@ -248,13 +290,16 @@ def license_sql() -> str:
                string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels, list(DISTINCT label) AS bl
         FROM place GROUP BY doc_id
     ),
-    line AS (
-        SELECT DISTINCT doc_id, list_distinct({words % "x"}) AS b
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d)
+    own_word AS (SELECT no, label, need, width, len(own) AS size, unnest(own) AS word FROM template),
+    near AS (
+        SELECT doc_id, no, label, need, size, count(DISTINCT word) OVER (
+            PARTITION BY doc_id, no ORDER BY i RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING
+        ) AS shared
+        FROM (SELECT doc_id, unnest(range(0, len(w))) AS i, unnest(w) AS word FROM d) JOIN own_word USING (word)
     ),
     hit AS (
-        SELECT doc_id, label, len(list_intersect(b, own)) / len(own) AS c
-        FROM line, template WHERE len(b) >= need AND len(list_intersect(b, own)) >= need
+        SELECT doc_id, label, max(shared) / any_value(size) AS c
+        FROM near WHERE shared >= need GROUP BY doc_id, no, label
     ),
     more AS (SELECT doc_id, list(DISTINCT label) AS ml, max(c) AS best FROM hit GROUP BY doc_id)
     SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
