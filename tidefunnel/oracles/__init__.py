@@ -6,7 +6,7 @@ import importlib
 
 from tidefunnel.oracles.sqltext import check_query
 
-AREAS = ("commerce", "acquisition", "consideration", "retention", "advocacy", "attribution", "catalogue", "journey", "quality", "ingest", "rollups", "mail", "streams")
+AREAS = ("commerce", "acquisition", "consideration", "retention", "advocacy", "attribution", "catalogue", "journey", "quality", "ingest", "rollups", "mail", "laid_out", "streams")
 
 
 def all_checks() -> dict[str, str]:

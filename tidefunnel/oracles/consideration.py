@@ -128,7 +128,7 @@ ALREADY_MEAN = ["avg_pages_per_session", "avg_session_duration_seconds", "avg_sc
 
 
 
-def _rates(days: int) -> str:
+def session_rates(days: int) -> str:
     """Session rates of the last days, from the events themselves."""
     rows = f"(SELECT * FROM shopify_events WHERE CAST(occurred_at AS DATE) BETWEEN :as_of - {days - 1} AND :as_of)"
     looks = sessions("'product_viewed', 'page_viewed'")
@@ -143,7 +143,7 @@ def _rates(days: int) -> str:
 
 
 SQL = {
-    "session_rates_from_maps": " UNION ALL ".join(_rates(n) for n in (7, 30, 90)),
+    "session_rates_from_maps": " UNION ALL ".join(session_rates(n) for n in (7, 30, 90)),
     "add_to_cart_rate": web(
         f"{div0(sessions(chr(39) + 'add_to_cart' + chr(39)), sessions(chr(39) + 'product_viewed' + chr(39)), 4)}"
         " AS add_to_cart_rate"),

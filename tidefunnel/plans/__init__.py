@@ -17,6 +17,7 @@ AREAS = (
     "ingest",
     "rollups",
     "mail",
+    "laid_out",
 )
 
 

@@ -13,7 +13,6 @@ from tidefunnel.functions.exprs import (
     VIEWED_PAGE,
     day,
     grouped,
-    in_dates,
     in_days,
     json_text,
     money,
@@ -32,7 +31,7 @@ Date = dt.date | None
 
 
 def ads(wh: Warehouse, platform: str | None = None, start: Date = None, end: Date = None) -> DataFrame:
-    df = wh.table("ad_events").where(in_dates("date", start, end))
+    df = wh.between("ad_events", "date", start, end)
     return df.where(F.col("platform") == platform) if platform else df
 
 
@@ -702,7 +701,7 @@ def traffic_source_metrics_daily(
     before they meet; mail events only enter as a count.
     """
     tags = ["utm_source", "utm_medium", "utm_campaign"]
-    events = wh.table("shopify_events").where(in_days("occurred_at", start, end))
+    events = wh.between("shopify_events", "occurred_at", start, end)
     web = (
         events.select(
             day("occurred_at").alias("date"),

@@ -115,7 +115,7 @@ def product_sales(wh: Warehouse, keys: list[str], start: Date = None, end: Date
 
     A range of days leaves out the lines of other days and of unknown orders.
     """
-    orders = wh.table("shopify_orders").where(in_days("order_date", start, end)).select(
+    orders = wh.between("shopify_orders", "order_date", start, end).select(
         F.col("id").alias("order_id"),
         day("order_date").alias("date"),
         (F.col("financial_status") == "paid").alias("is_paid"),

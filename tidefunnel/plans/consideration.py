@@ -17,7 +17,6 @@ from tidefunnel.functions.exprs import (
     SENT,
     day,
     in_dates,
-    in_days,
     json_text,
     ratio,
     ratio0,
@@ -44,11 +43,11 @@ def seconds() -> Column:
 
 
 def web_events(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
-    return wh.table("shopify_events").where(in_days("occurred_at", start, end))
+    return wh.between("shopify_events", "occurred_at", start, end)
 
 
 def mail_events(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
-    return wh.table("klaviyo_events").where(in_days("occurred_at", start, end))
+    return wh.between("klaviyo_events", "occurred_at", start, end)
 
 
 def is_event(*names: str) -> Column:

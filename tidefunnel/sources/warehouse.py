@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
+from tidefunnel.functions.exprs import in_dates, in_days
 from tidefunnel.sources.mapping import ENTITIES
 from tidefunnel.sources.mapping_mail import raw_messages
 from tidefunnel.sources.schemas import ENTITY_SCHEMAS, MAILBOX_SCHEMAS, RAW_SCHEMAS
@@ -34,6 +36,7 @@ class Warehouse:
         names: tuple[str, ...],
         raw_dir: str | None = None,
         streamer: Callable[[str], DataFrame] | None = None,
+        slicer: Callable[..., DataFrame] | None = None,
     ) -> None:
         # One time zone for all stored moments; days begin at UTC midnight.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -43,6 +46,7 @@ class Warehouse:
         self.raw_dir = raw_dir
         self._loader = loader
         self._streamer = streamer
+        self._slicer = slicer
         self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -50,6 +54,15 @@ class Warehouse:
             self._frames[name] = self._loader(name)
         return self._frames[name]
 
+    def between(self, name: str, column: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
+        """Rows of a table whose date or moment falls on a day in [start, end].
+
+        A table laid out by that column opens the folders of the range only.
+        """
+        rows = self._slicer(name, column, start, end) if self._slicer else self.table(name)
+        inside = in_dates if isinstance(rows.schema[column].dataType, DateType) else in_days
+        return rows.where(inside(column, start, end))
+
     def stream(self, name: str) -> DataFrame:
         """A table as a stream of its files."""
         if self._streamer is None:
