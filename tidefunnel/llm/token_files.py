@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from tidefunnel.session import work_folder
 END = 1  # the id behind each document
 GAMMA = 2.0
 KEYS = 2048
-CACHE = 1 << 18  # encoded words of one generation; a task keeps two
+CACHE = 1 << 18  # encoded words of one generation; a worker process keeps two
 LEARNED = 4096  # new words that are encoded as one text
 FLUSH = 1 << 22  # bytes of ids that a task gathers before it writes
 MANIFEST = "doc_id long, copy long, file int, offset long, count long"
@@ -51,7 +52,8 @@ INDEX = (
 
 # Between an ASCII letter and an ASCII mark other than the apostrophe, the splitting of
 # the vocabulary always ends a piece, as it does at white space.
-EDGE = rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])"
+EDGE = rb"[!-&(-/:-@\[-`{-~](?<=[a-z].)"
+APART = rb" \g<0>"
 
 
 def word_encoder(path: str, width: int) -> Callable[[str], bytes]:
@@ -128,7 +130,7 @@ def group_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
 
     def encode(texts: list[str]) -> list[bytes]:
         nonlocal known, older
-        cut = [None if as_it_stands(t) else edge.sub(b" ", t.encode().lower()).split() for t in texts]
+        cut = [None if as_it_stands(t) else edge.sub(APART, t.encode().lower()).split() for t in texts]
         met: set[bytes] = set()
         for words in cut:
             met.update(words or ())
@@ -145,6 +147,12 @@ def group_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
+@lru_cache(maxsize=1)
+def process_encoder(path: str, width: int) -> Callable[[list[str]], list[bytes]]:
+    """The encoder of a worker process, whose words serve the tasks that follow."""
+    return group_encoder(path, width)
+
+
 # --- writing ----------------------------------------------------------------
 
 
@@ -154,7 +162,7 @@ def _writer(folder: str, path: str, width: int):
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        file, encode = task.partitionId(), group_encoder(path, width)
+        file, encode = task.partitionId(), process_encoder(path, width)
         end = END.to_bytes(width, "little")
         fs, base = FileSystem.from_uri(folder)
         draft, out, at = f"{base}/.draft-{file:08d}-{task.taskAttemptId()}", None, 0
@@ -346,67 +354,86 @@ def locate(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     return wanted.cogroup(index).applyInPandas(_looked_up, MANIFEST)
 
 
+READ = 1 << 22  # bytes of ids that one batch holds
+
+
 def _reader(folder: str, width: int):
-    def read(frames):
-        import pandas as pd
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
 
         fs, base = FileSystem.from_uri(folder)
         name, source = None, None
-        for frame in frames:
-            payload = []
-            for file, offset, count in zip(frame.file, frame.offset, frame["count"], strict=True):
+        columns = ("doc_id", "copy", "file", "offset", "count", "first")
+
+        def full(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["doc_id", "copy", "start", "ids"],
+            )
+
+        for batch in batches:
+            rows, size = [], 0
+            for doc, copy, file, offset, count, first in zip(
+                *(batch.column(c).to_pylist() for c in columns), strict=True
+            ):
                 if file != name:
                     if source:
                         source.close()
                     name, source = file, fs.open_input_file(f"{base}/ids-{file:08d}.bin")
                 source.seek(offset)
-                payload.append(source.read(count * width))
-            yield pd.DataFrame(
-                {"doc_id": frame.doc_id, "copy": frame["copy"], "file": frame.file, "offset": frame.offset, "ids": payload}
-            )
+                rows.append((doc, copy, first + offset // width, source.read(count * width)))
+                size += count * width
+                if size >= READ:
+                    yield full(rows)
+                    rows, size = [], 0
+            if rows:
+                yield full(rows)
         if source:
             source.close()
 
     return read
 
 
+def placed_keys(spark: SparkSession, folder: str, keys: DataFrame) -> tuple[DataFrame, int]:
+    """The keys with their places and the ids before their file, sorted for reading; the width of an id."""
+    files = spark.read.parquet(f"{folder}/files")
+    width = (files.select("width").first() or {"width": 2})["width"]
+    placed = locate(spark, folder, keys).join(files.select("file", "first"), "file")
+    return placed.repartition("file").sortWithinPartitions("file", "offset"), width
+
+
 def read_ids(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     """doc_id, copy, start (ids before it in all files), ids (binary of ``width`` bytes each).
 
     Keys are found through the index; each task reads its files in file order.
     """
-    files = spark.read.parquet(f"{folder}/files")
-    width = (files.select("width").first() or {"width": 2})["width"]
-    placed = locate(spark, folder, keys).repartition("file").sortWithinPartitions("file", "offset")
-    ids = placed.mapInPandas(
-        _reader(folder, width), "doc_id long, copy long, file int, offset long, ids binary"
-    )
-    return ids.join(files.select("file", "first"), "file").select(
-        "doc_id", "copy", F.expr(f"first + offset div {width}").alias("start"), "ids"
-    )
+    placed, width = placed_keys(spark, folder, keys)
+    return placed.mapInArrow(_reader(folder, width), "doc_id long, copy long, start long, ids binary")
+
 
+def read_checksums(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and the CRC-32 of the ids as 32-bit little-endian numbers.
 
-def checksums(ids: DataFrame, width: int = 2) -> DataFrame:
-    """doc_id, start, n_tokens and the CRC-32 of the ids as 32-bit little-endian numbers."""
+    The ids that :func:`read_ids` gives, digested where they are read: one Python
+    process a task, and no ids pass through Spark.
+    """
+    placed, width = placed_keys(spark, folder, keys)
+    read = _reader(folder, width)
 
-    def sums(frames):
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        import pandas as pd
-
-        for frame in frames:
-            numbers = [np.frombuffer(x, f"<u{width}") for x in frame.ids]
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame.doc_id,
-                    "start": frame.start,
-                    "n_tokens": [len(x) for x in numbers],
-                    "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in numbers],
-                }
+        for batch in read(batches):
+            numbers = [np.frombuffer(x.as_buffer(), f"<u{width}") for x in batch.column("ids")]
+            crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in numbers]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("start"),
+                 pa.array([len(x) for x in numbers], pa.int64()), pa.array(crc, pa.int64())],
+                names=["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return ids.mapInPandas(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, vocabulary: str, width: int = 2) -> DataFrame:
@@ -419,4 +446,4 @@ def token_files(docs: DataFrame, vocabulary: str, width: int = 2) -> DataFrame:
         .count()
         .select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("copy"))
     )
-    return checksums(read_ids(spark, folder, keys), width)
+    return read_checksums(spark, folder, keys)
