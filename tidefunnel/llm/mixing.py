@@ -12,7 +12,7 @@ so a hot source costs one row a task; all later work is on the table of cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefunnel.llm.common import free_name
@@ -22,6 +22,7 @@ DIMENSIONS = ("source", "lang", "topic")
 BUDGET = 0.7  # share of all tokens to keep
 POWER = 0.7  # default targets: shares to this power, so that large groups lose some weight
 ROUNDS = 12
+CELLS = 1_000_000  # up to here the cells of one value are summed in one task
 
 # A document's topic is the first whose pattern is in its text.
 TOPICS = (
@@ -74,8 +75,10 @@ def rake(
 
     ``targets`` maps a dimension to a table (value, share); dimensions that it lacks
     get ``default_targets``.  Values without a target weigh nothing.  Shares are
-    those of the budget, ``budget`` times all tokens.  Each round is written to the
-    shared folder, so the plan does not grow with the rounds.
+    those of the budget, ``budget`` times all tokens.  What is done is written to the
+    shared folder, so plans do not grow with the rounds.  Up to CELLS cells a round is
+    one pass of windows; beyond that each step is an aggregate and a join, which split
+    the cells of a frequent value.
     """
     given = targets or {}
     total = cells.agg((F.sum("n_tokens") * F.lit(budget)).alias("wanted"))
@@ -90,22 +93,28 @@ def rake(
         for d in DIMENSIONS
     }
     state = cells.withColumn("weight", F.col("n_tokens") * F.lit(float(budget)))
+    for d in DIMENSIONS:
+        state = state.join(wanted[d].withColumnRenamed("goal", f"goal_{d}"), d, "left")
+    state = staged(state, "goals")
+    few = state.count() <= CELLS
     for _ in range(rounds):
         for d in DIMENSIONS:
-            sums = state.groupBy(d).agg(F.sum("weight").alias("have"))
-            factor = sums.join(wanted[d], d, "left").select(
-                d, (F.coalesce("goal", F.lit(0.0)) / F.col("have")).alias("factor")
-            )
-            state = state.join(factor, d).select(
-                *DIMENSIONS,
-                "n_tokens",
-                F.least(
-                    F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0)),
-                    F.col("n_tokens").cast("double"),
-                ).alias("weight"),
-            )
-        state = staged(state, "raked")
-    return state
+            state = _scaled(state, d, few)
+            if not few:  # a step reads its cells twice, and steps in one plan would double it with each
+                state = staged(state, "raked")
+        state = staged(state, "raked") if few else state
+    return state.drop(*(f"goal_{d}" for d in DIMENSIONS))
+
+
+def _scaled(state: DataFrame, d: str, few: bool) -> DataFrame:
+    """``state`` with the weights scaled to the goals of one dimension, no cell over its tokens."""
+    if few:
+        state = state.withColumn("have", F.sum("weight").over(Window.partitionBy(d)))
+    else:
+        state = state.join(state.groupBy(d).agg(F.sum("weight").alias("have")), d)
+    factor = F.try_divide(F.coalesce(F.col(f"goal_{d}"), F.lit(0.0)), F.col("have"))
+    weight = F.least(F.coalesce(F.col("weight") * factor, F.lit(0.0)), F.col("n_tokens").cast("double"))
+    return state.withColumn("weight", weight).drop("have")
 
 
 def reached(cells: DataFrame, raked: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
