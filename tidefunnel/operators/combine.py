@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS = 500_000  # of a table, for one task
+
 
 def stack_sum(keys: list[str], frames: list[DataFrame], measures: list[str]) -> DataFrame:
     """Put partial results of the same groups together.
@@ -39,3 +41,14 @@ def left_join_spread(
         .join(right.withColumn("_slot", zero), [*keys, "_slot"], "left")
         .drop("_slot")
     )
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` so that a task gets about ROWS of its ``rows``.
+
+    What a task holds then does not grow with the table.  Tables that the session's
+    partitions already cut so small are left to Spark, which also merges small ones.
+    """
+    parts = -(-rows // ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys) if parts > usual else df

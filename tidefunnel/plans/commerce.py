@@ -17,10 +17,12 @@ from tidefunnel.functions.exprs import (
     ratio0,
     rounded,
 )
+from tidefunnel.operators.combine import dealt
 from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
 
 Date = dt.date | None
+SLICES = 16
 
 
 def paid_orders(wh: Warehouse) -> DataFrame:
@@ -120,17 +122,28 @@ def product_sales(wh: Warehouse, keys: list[str], start: Date = None, end: Date
         day("order_date").alias("date"),
         (F.col("financial_status") == "paid").alias("is_paid"),
     )
-    lines = wh.table("shopify_order_line_items").where("product_id is not null")
+    lines = wh.table("shopify_order_line_items")
+    rows = lines.count()  # from the file footers
     how = "left" if start is None and end is None else "inner"
-    return (
-        lines.join(orders, "order_id", how)
-        .groupBy(*keys)
+    # one row for each order and key, where the join has dealt the orders already
+    per_order = (
+        dealt(lines.where("product_id is not null"), rows, "order_id")
+        .join(dealt(orders, rows, "order_id"), "order_id", how)
+        .groupBy("order_id", *keys)
         .agg(
             F.sum("quantity").alias("units"),
             F.sum(F.when(F.col("is_paid"), F.col("line_total"))).alias("paid_revenue"),
-            F.countDistinct("order_id").alias("orders"),
         )
     )
+    sums = [F.sum(c).alias(c) for c in ("units", "paid_revenue")]
+    # a frequent product is summed in slices first
+    slices = per_order.withColumn("slice", F.pmod(F.xxhash64("order_id"), F.lit(SLICES)))
+    by_slice = (
+        dealt(slices, rows, *keys, "slice")
+        .groupBy(*keys, "slice")
+        .agg(*sums, F.count("order_id").alias("orders"))
+    )
+    return dealt(by_slice, rows, *keys).groupBy(*keys).agg(*sums, F.sum("orders").alias("orders"))
 
 
 def product_interest(
