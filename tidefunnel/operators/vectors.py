@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024  # questions that travel with the tasks; more meet the corpus in tiles
-TILE_BYTES = 32 << 20  # vectors of one side of a tile
+TILE_BYTES = 16 << 20  # vectors of one side of a tile
 STRIPE = 1 << 21  # numbers of one block of distances
 
 
@@ -32,21 +32,21 @@ def usable(table: DataFrame) -> DataFrame:
     return table.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & finite)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """List array of equal-length float lists as a 2-d double array."""
+def matrix(column: pa.Array, kind: type | None = np.float64) -> np.ndarray:
+    """List array of equal-length float lists as a 2-d double array; as it is stored without a ``kind``."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(kind or flat.dtype, copy=False).reshape(len(column), -1)
 
 
 def closest(questions: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(question, row, distance) of the k nearest rows of each question and of all ties with the last."""
     parts = []
-    sizes = (vectors**2).sum(axis=1)
+    sizes = np.einsum("ij,ij->i", vectors, vectors)
     step = max(1, STRIPE // max(1, len(vectors)))
     for at in range(0, len(questions), step):
-        q = questions[at : at + step]
+        q = questions[at : at + step].astype(np.float64)
         own = (q**2).sum(axis=1)
         rough = sizes[None, :] - 2.0 * (q @ vectors.T) + own[:, None]
         near = np.full(len(q), np.inf)
@@ -71,9 +71,12 @@ def closest(questions: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def _cosines(questions: np.ndarray, vectors: np.ndarray, i: np.ndarray, row: np.ndarray) -> np.ndarray:
-    q, v = questions[i], vectors[row]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return (v * q).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (q * q).sum(axis=1))
+    out = np.empty(len(i))
+    for c in range(0, len(i), 1 << 14):
+        q, v = questions[i[c : c + (1 << 14)]].astype(np.float64), vectors[row[c : c + (1 << 14)]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[c : c + (1 << 14)] = (v * q).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (q * q).sum(axis=1))
+    return out
 
 
 def _hits_table(ids: pa.Array, names: pa.Array, questions, vectors, k: int) -> pa.Table:
@@ -170,7 +173,7 @@ def _tiled(corpus: DataFrame, questions: DataFrame, k: int, keys: list[str]) ->
         return _hits_table(
             c_rows.column("email_id").combine_chunks(),
             q_rows.column("question_id").combine_chunks(),
-            matrix(q_rows.column("embedding")),
+            matrix(q_rows.column("embedding"), None),  # doubles block by block
             matrix(c_rows.column("embedding")),
             k,
         )
