@@ -19,8 +19,12 @@ from tidefunnel.operators.tables import drop_folders, folder_exists
 
 
 def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Rows with a column ``date`` as the open rows of one batch."""
-    rows.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+    """Rows with a column ``date`` as the open rows of one batch.
+
+    Each day is written by one task: files follow the days, not days times tasks.
+    """
+    dealt = rows.repartition("date")  # a hint does nothing in a stream, where plans do not adapt
+    dealt.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("date", "batch").parquet(f"{root}/open")
 
