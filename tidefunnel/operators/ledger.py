@@ -31,8 +31,15 @@ def _with(schema: StructType, name: str) -> StructType:
     return StructType([*[f for f in schema.fields if f.name not in ("date", "upto")], StructField(name, DateType())])
 
 
+def merged(people: DataFrame, keys: list[str], merge: dict[str, Merge]) -> DataFrame:
+    return people.groupBy(*keys).agg(*[how(c).alias(c) for c, how in merge.items()])
+
+
 class DayLedger:
-    """``facts`` and ``people`` are the schemas; a person's columns merge by ``merge``."""
+    """``facts`` and ``people`` are the stored schemas; a person's columns merge by ``merge``.
+
+    Rows of people need not be merged when they are handed in.
+    """
 
     def __init__(
         self, spark: SparkSession, root: str, facts: StructType, people: StructType, key: str, merge: dict[str, Merge]
@@ -59,6 +66,10 @@ class DayLedger:
         for name in ("marks", "held"):
             drop_folders(self.spark, [f"{self.root}/{name}/upto={c}" for c in gone])
 
+    def _typed(self, name: str, rows: DataFrame) -> DataFrame:
+        types = {f.name: f.dataType for f in self.schemas[name].fields}
+        return rows.select(*[F.col(c).cast(types[c]).alias(c) for c in rows.columns])
+
     def begin(self, facts: DataFrame, people: DataFrame, upto: dt.date) -> None:
         """Store all days up to ``upto`` as the first checkpoint; forgets what was stored."""
         self._forget(self.checkpoints())
@@ -73,7 +84,8 @@ class DayLedger:
         self._forget([c for c in held if c >= start])
         days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
         replace_days(facts, f"{self.root}/facts", days)
-        replace_days(people, f"{self.root}/people", days)
+        by_day = merged(people, [self.key, "date"], self.merge)
+        replace_days(self._typed("people", by_day), f"{self.root}/people", days)
 
     def changes(self, start: dt.date, end: dt.date) -> tuple[DataFrame, DataFrame]:
         """Rows whose totals up to a day in [start, end] are that day's figures.
@@ -83,8 +95,8 @@ class DayLedger:
         base = max(c for c in self.checkpoints() if c < start)
         days = [base + dt.timedelta(days=i) for i in range(1, (end - base).days + 1)]
 
-        def rows(daily: str, merged: str) -> DataFrame:
-            held = self._folder(merged, "upto", [base]).withColumnRenamed("upto", "date")
+        def rows(daily: str, base_name: str) -> DataFrame:
+            held = self._folder(base_name, "upto", [base]).withColumnRenamed("upto", "date")
             return self._folder(daily, "date", days).unionByName(held)
 
         return rows("facts", "marks"), rows("people", "held")
@@ -95,12 +107,11 @@ class DayLedger:
 
     def _merge(self, facts: DataFrame, people: DataFrame, upto: dt.date) -> None:
         sums = facts.agg(*[F.sum(c).alias(c) for c in facts.columns if c != "date"])
-        held = people.groupBy(self.key).agg(*[merge(c).alias(c) for c, merge in self.merge.items()])
+        held = merged(people, [self.key], self.merge)
         for name, rows in (("held", held), ("marks", sums)):
-            types = {f.name: f.dataType for f in self.schemas[name].fields}
-            typed = rows.select(*[F.col(c).cast(types[c]).alias(c) for c in rows.columns])
             (
-                typed.withColumn("upto", F.lit(upto))
+                self._typed(name, rows)
+                .withColumn("upto", F.lit(upto))
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("upto")

@@ -26,7 +26,7 @@ from tidefunnel.functions.exprs import (
 from tidefunnel.operators.calendar import days_between, running_totals
 from tidefunnel.operators.combine import stack_sum
 from tidefunnel.operators.gaps import order_days
-from tidefunnel.operators.ledger import DayLedger
+from tidefunnel.operators.ledger import DayLedger, merged
 from tidefunnel.plans.commerce import buyers, paid_orders
 from tidefunnel.plans.consideration import is_event, percent
 from tidefunnel.plans.retention import EVER, days_before, default_calendar
@@ -34,6 +34,7 @@ from tidefunnel.registry import register
 from tidefunnel.sources.warehouse import Warehouse
 
 Date = dt.date | None
+WEEK = 7
 
 
 def vip_tier(wh: Warehouse) -> DataFrame:
@@ -110,12 +111,12 @@ def social_engagement_rate(wh: Warehouse, start: Date = None, end: Date = None)
     return _participation(wh, acts, "social_engagement_rate")
 
 
-def _revenue_with_vip(wh: Warehouse, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """Paid revenue and the VIPs' part, per customer first and then per key."""
+def _revenue_with_vip(vip_ids: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+    """Paid revenue and the VIPs' (id) part, per customer first and then per key."""
     spent = orders.groupBy(*keys, F.col("customer_id").alias("id")).agg(
         F.sum("total_price").alias("revenue")
     )
-    marked = spent.join(vips(wh).select("id", F.lit(1).alias("vip")), "id", "left")
+    marked = spent.join(vip_ids.select("id", F.lit(1).alias("vip")), "id", "left")
     sums = [
         F.sum("revenue").alias("revenue"),
         F.sum(F.when(F.col("vip") == 1, F.col("revenue"))).alias("vip_revenue"),
@@ -125,7 +126,7 @@ def _revenue_with_vip(wh: Warehouse, orders: DataFrame, keys: list[str]) -> Data
 
 def vip_revenue_contribution(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     orders = paid_orders(wh).where(in_days("order_date", start, end))
-    return _revenue_with_vip(wh, orders, []).select(
+    return _revenue_with_vip(vips(wh), orders, []).select(
         ratio0("vip_revenue", "revenue", 4).alias("vip_revenue_contribution")
     )
 
@@ -133,11 +134,13 @@ def vip_revenue_contribution(wh: Warehouse, start: Date = None, end: Date = None
 def post_purchase_mails(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     """Mail events sent at most seven days after a paid order of the recipient.
 
-    ``purchase_days`` counts the distinct days with an order in [t - 7 d, t).
-    Orders are reduced to one row per customer and day, and those rows to one
-    summary per customer and mail day: full days in between always count, the
-    first and the last day of the window by their latest and first order.  A
-    mail event therefore meets at most one row.
+    ``purchase_days`` counts the distinct days with an order in [t - 7 d, t): full days
+    in between always count, the first and the last day of the window by their latest
+    and first order.  Orders are reduced to one row per customer and day, and those to
+    one row per customer and block of seven days, which lists the purchase days of the
+    block and of the one before it.  The days of a mail's window lie in these two, so a
+    mail event meets at most one row, and a purchase day is handed on twice.  Orders
+    more than a week older than the first mail meet none and are left out.
     """
     sent = (
         wh.table("klaviyo_events")
@@ -150,30 +153,35 @@ def post_purchase_mails(wh: Warehouse, start: Date = None, end: Date = None) ->
         .select(F.col("id").alias("profile_id"), "customer_id")
         .join(people, "customer_id", "left_semi")
     )
+    paid = paid_orders(wh).where(in_days("order_date", start and days_before(start, WEEK), end))
+    if start is None:
+        paid = paid.where(day("order_date") >= F.date_sub(sent.agg(F.min("date")).scalar(), WEEK))
+    block = F.floor(F.unix_date("date") / WEEK)
     around = (
-        order_days(paid_orders(wh).where(in_days("order_date", start and days_before(start, 7), end)))
+        order_days(paid)
         .select(
             "customer_id",
-            "first_at",
-            "last_at",
-            F.posexplode(F.expr("sequence(date, date_add(date, 7))")).alias("ago", "date"),
-        )
-        .groupBy("customer_id", "date")
-        .agg(
-            F.count_if(F.col("ago").between(1, 6)).alias("between"),
-            F.max(F.when(F.col("ago") == 0, F.col("first_at"))).alias("same_day_first"),
-            F.max(F.when(F.col("ago") == 7, F.col("last_at"))).alias("week_ago_last"),
+            F.explode(F.array(block, block + 1)).alias("block"),
+            F.struct("date", "first_at", "last_at").alias("bought"),
         )
+        .groupBy("customer_id", "block")
+        .agg(F.collect_list("bought").alias("bought"))
     )
     t = F.col("occurred_at")
-    same_day = F.coalesce((F.col("same_day_first") < t).cast("int"), F.lit(0))
-    week_ago = F.coalesce(
-        (F.col("week_ago_last") >= t - F.expr("interval 7 days")).cast("int"), F.lit(0)
-    )
+
+    def counts(bought: Column) -> Column:
+        ago = F.datediff("date", bought["date"])
+        return (
+            F.when(ago == 0, bought["first_at"] < t)
+            .when(ago == WEEK, bought["last_at"] >= t - F.expr("interval 7 days"))
+            .otherwise(ago.between(1, WEEK - 1))
+        )
+
     return (
-        sent.join(profiles, "profile_id")
-        .join(around, ["customer_id", "date"])
-        .select("event_type", "date", (F.col("between") + same_day + week_ago).alias("purchase_days"))
+        sent.withColumn("block", block)
+        .join(profiles, "profile_id")
+        .join(around, ["customer_id", "block"])
+        .select("event_type", "date", F.size(F.filter("bought", counts)).alias("purchase_days"))
         .where("purchase_days > 0")
     )
 
@@ -216,29 +224,35 @@ def _acts(wh: Warehouse, start: Date = None, end: Date = None) -> DataFrame:
     )
 
 
-def _people_changes(wh: Warehouse, acts: DataFrame) -> DataFrame:
+def standing(wh: Warehouse) -> DataFrame:
+    """What customers are now: one row each, with buyer, member and vip."""
+    members = (
+        wh.table("loyalty_enrollments")
+        .where("customer_id is not null")
+        .groupBy(F.col("customer_id").alias("id"))
+        .agg(F.lit(True).alias("member"), F.max(F.col("loyalty_tier") == "vip").alias("vip_tier"))
+    )
+    false = F.lit(False)
+    return wh.table("customers").join(members, "id", "left").select(
+        "id",
+        F.coalesce(F.col("total_orders") > 0, false).alias("buyer"),
+        F.coalesce("member", false).alias("member"),
+        (tagged_vip() | F.coalesce("vip_tier", false)).alias("vip"),
+    )
+
+
+def _people_changes(now: DataFrame, acts: DataFrame) -> DataFrame:
     """Headcounts per day: people on the day of their first act, others always.
 
     The running total of first acts is the number of distinct people so far.
-    All acts meet the customers in one join.
+    All acts meet the customers as they are now in one join.
     """
-    members = wh.table("loyalty_enrollments").select(
-        F.col("customer_id").alias("id"),
-        F.lit(EVER).alias("member_buyers"),
-        (F.col("loyalty_tier") == "vip").alias("vip_tier"),
-    )
-    firsts = [*FIRST_ACTS, "member_buyers"]
-    per_person = (
-        acts.unionByName(members, allowMissingColumns=True)
-        .where("id is not null")
-        .groupBy("id")
-        .agg(*[F.min(c).alias(c) for c in firsts], F.max("vip_tier").alias("vip_tier"))
-    )
-    is_vip = tagged_vip() | F.coalesce("vip_tier", F.lit(False))
+    per_person = acts.where("id is not null").groupBy("id").agg(*[F.min(c).alias(c) for c in FIRST_ACTS])
     days = {
-        **{c: F.col(c) for c in firsts},
+        **{c: F.col(c) for c in FIRST_ACTS},
+        "member_buyers": F.when(F.col("member"), F.lit(EVER)),
         "buyers": F.lit(EVER),
-        "vips": F.when(is_vip, F.lit(EVER)),
+        "vips": F.when(F.col("vip"), F.lit(EVER)),
     }
 
     def mark(name: str) -> Column:
@@ -246,7 +260,7 @@ def _people_changes(wh: Warehouse, acts: DataFrame) -> DataFrame:
         return F.struct(days[name].alias("date"), *ones)
 
     return (
-        buyers(wh)
+        now.where("buyer")
         .join(per_person, "id", "left")
         .select(F.explode(F.array(*[mark(n) for n in days])).alias("m"))
         .select("m.*")
@@ -320,8 +334,8 @@ def advocacy_metrics_daily(wh: Warehouse, calendar: DataFrame | None = None) ->
         calendar,
         [
             *_fact_changes(wh),
-            _people_changes(wh, _acts(wh)),
-            _revenue_with_vip(wh, _dated_orders(wh), ["date"]),
+            _people_changes(standing(wh), _acts(wh)),
+            _revenue_with_vip(vips(wh), _dated_orders(wh), ["date"]),
             _members(wh),
         ],
     )
@@ -366,7 +380,10 @@ def _figures(calendar: DataFrame, parts: list[DataFrame]) -> DataFrame:
 
 
 def day_changes(wh: Warehouse, start: Date, end: Date) -> tuple[DataFrame, DataFrame]:
-    """What the days in [start, end] add: one row per day, and one per customer and day."""
+    """What the days in [start, end] add: one row per day, and acts and orders of customers.
+
+    The latter are not merged yet; the ledger merges them by day or, as history, at once.
+    """
     revenue = _dated_orders(wh, start, end)
     parts = [
         *_fact_changes(wh, start, end),
@@ -377,38 +394,41 @@ def day_changes(wh: Warehouse, start: Date, end: Date) -> tuple[DataFrame, DataF
     spent = revenue.select(F.col("customer_id").alias("id"), "date", F.col("total_price").alias("spent"))
     acts = _acts(wh, start, end)
     dated = acts.withColumn("date", F.coalesce("ugc_people", "review_people"))
-    people = (
-        dated.unionByName(spent, allowMissingColumns=True)
-        .where("id is not null and date is not null")
-        .groupBy("id", "date")
-        .agg(*[F.min(c).alias(c) for c in FIRST_ACTS], F.sum("spent").alias("spent"))
-    )
+    people = dated.unionByName(spent, allowMissingColumns=True).where("id is not null and date is not null")
     return facts, people
 
 
 def ledger(wh: Warehouse, root: str) -> DayLedger:
     facts, people = day_changes(wh, wh.as_of, wh.as_of)
     merge = {**dict.fromkeys(FIRST_ACTS, F.min), "spent": F.sum}
-    return DayLedger(wh.spark, root, facts.schema, people.schema, "id", merge)
+    return DayLedger(wh.spark, root, facts.schema, merged(people, ["id", "date"], merge).schema, "id", merge)
 
 
-def advocacy_from_ledger(wh: Warehouse, days: DayLedger, start: dt.date, end: dt.date) -> DataFrame:
-    """The rollup of [start, end] from stored days, a checkpoint and the customers of now."""
+def advocacy_from_ledger(
+    wh: Warehouse, days: DayLedger, start: dt.date, end: dt.date, now: DataFrame | None = None
+) -> DataFrame:
+    """The rollup of [start, end] from stored days, a checkpoint and the customers of ``now``."""
+    now = standing(wh) if now is None else now
     facts, people = days.changes(start, end)
     spent = people.select(F.col("id").alias("customer_id"), F.col("spent").alias("total_price"), "date")
     return _figures(
         days_between(wh.spark, start, end),
         [
             facts,
-            _people_changes(wh, people.select("id", *FIRST_ACTS)),
-            _revenue_with_vip(wh, spent, ["date"]).select("date", "vip_revenue"),
+            _people_changes(now, people.select("id", *FIRST_ACTS)),
+            _revenue_with_vip(now.where("vip"), spent, ["date"]).select("date", "vip_revenue"),
             _members(wh),
         ],
     )
 
 
 def refresh_advocacy(
-    wh: Warehouse, days: DayLedger, start: dt.date, end: dt.date, every: int = 7
+    wh: Warehouse,
+    days: DayLedger,
+    start: dt.date,
+    end: dt.date,
+    every: int = 7,
+    now: DataFrame | None = None,
 ) -> DataFrame:
     """Read the facts of [start, end] and return the rollup rows that follow from them.
 
@@ -416,7 +436,8 @@ def refresh_advocacy(
     total behind it, which the stored days give without their facts.  A late order also
     counts for mails of the week after it, so mails of those days are read again.  A row
     that changes later (an order refunded, a referral converted) is a late row of its
-    day.  A checkpoint is added when the newest is ``every`` days old.
+    day.  A checkpoint is added when the newest is ``every`` days old.  ``now`` is the
+    ``standing`` of the customers, for callers that refresh several times.
     """
     last = max([end, *days.recorded()])
     through = min(end + dt.timedelta(days=7), last)
@@ -425,7 +446,7 @@ def refresh_advocacy(
     newest = max(c for c in days.checkpoints() if c <= before)
     if (before - newest).days >= every:
         days.checkpoint(before)
-    return advocacy_from_ledger(wh, days, start, last)
+    return advocacy_from_ledger(wh, days, start, last, now)
 
 
 # --- customer level and summaries -----------------------------------------------------

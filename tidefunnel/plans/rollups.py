@@ -13,9 +13,15 @@ from pyspark.sql import DataFrame
 
 from tidefunnel.functions.exprs import in_dates
 from tidefunnel.operators.calendar import days_between, session_days, source_range
-from tidefunnel.operators.tables import read_table, replace_all, replace_days
+from tidefunnel.operators.tables import read_table, replace_all, replace_days, staged
 from tidefunnel.plans.acquisition import acquisition_metrics_daily, traffic_source_metrics_daily
-from tidefunnel.plans.advocacy import advocacy_metrics_daily, day_changes, ledger, refresh_advocacy
+from tidefunnel.plans.advocacy import (
+    advocacy_metrics_daily,
+    day_changes,
+    ledger,
+    refresh_advocacy,
+    standing,
+)
 from tidefunnel.plans.commerce import (
     campaign_performance_daily,
     customer_metrics_daily,
@@ -125,11 +131,12 @@ def refresh_advocacy_days(wh: Warehouse) -> DataFrame:
     """Store history up to three days ago, then extend the advocacy rollup day by day."""
     root = work_folder(wh.spark, "advocacy-days")
     days, path = ledger(wh, f"{root}/ledger"), f"{root}/advocacy_metrics_daily"
+    now = staged(standing(wh), "customers-now")
     past = wh.as_of - dt.timedelta(days=3)
     days.begin(*day_changes(wh, None, past), past)
     for ago in (2, 1, 0):
         day = wh.as_of - dt.timedelta(days=ago)
-        rows = refresh_advocacy(wh, days, day, day, every=1)
+        rows = refresh_advocacy(wh, days, day, day, every=1, now=now)
         replace_days(rows, path, [day])
     return read_table(wh.spark, path, rows)
 
